@@ -1,6 +1,9 @@
 """The queries of the training-data operators, and SQL for those that SQL can express."""
 
-from tidemark.llm import chat
+from tidemark.llm import chat, langid
 
-QUERIES = {"op2_chat_formatting": chat.op2_chat_formatting}
+QUERIES = {
+    "op2_chat_formatting": chat.op2_chat_formatting,
+    "op9_language_id": langid.op9_language_id,
+}
 ORACLES = {"op2_chat_formatting": chat.OP2_SQL}
