@@ -52,6 +52,11 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def with_key(docs: DataFrame, column: str = "text") -> DataFrame:
+    """doc_id and a column for a pandas operator; the id is text there, as pandas has no exact 64-bit integers beside nulls."""
+    return docs.select(F.col("doc_id").cast("string").alias("doc_id"), column)
+
+
 def as_bytes(column: str = "text"):
     """The column in UTF-8, null as empty: Python gets bytes, whose split() and lower() know ASCII only."""
     return F.coalesce(F.col(column).cast("binary"), F.lit(b""))

@@ -22,6 +22,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -168,22 +169,20 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """docs with lang_pred and score; of its columns only text is read."""
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
-    def predicted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = ["" if t is None else t for t in batch["text"]]
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            langs, scores = [], []
             for first, last in slices(texts):
-                # as few rows at a time as features of 16 MB
-                for at in range(first, last, 1000):
-                    part = batch.iloc[at : min(at + 1000, last)]
-                    x, lettered = features(texts[at : at + len(part)])
-                    if model.languages:
-                        lang, score = model.predict(x)
-                        lang = [name if known else UNDETERMINED for name, known in zip(lang, lettered, strict=True)]
-                    else:
-                        lang, score = [UNDETERMINED] * len(part), np.zeros(len(part))
-                    yield part.assign(lang_pred=lang, score=np.where(lettered, score, 0.0))
-
-    return docs.mapInPandas(predicted, schema)
+                for at in range(first, last, 1000):  # features of 16 MB at most
+                    x, lettered = features(texts[at : min(at + 1000, last)])
+                    lang, score = model.predict(x) if model.languages else ([UNDETERMINED] * len(x), np.zeros(len(x)))
+                    langs += [name if known else UNDETERMINED for name, known in zip(lang, lettered, strict=True)]
+                    scores += np.where(lettered, score, 0.0).tolist()
+            columns = [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "lang_pred", "score"])
+
+    return docs.mapInArrow(predicted, schema)
 
 
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
