@@ -1,9 +1,10 @@
 """The queries of the training-data operators, and SQL for those that SQL can express."""
 
-from tidemark.llm import bpe, chat, langid, rans
+from tidemark.llm import bpe, chat, langid, quality, rans
 
 QUERIES = {
     "op2_chat_formatting": chat.op2_chat_formatting,
+    "op4_quality_rules": quality.op4_quality_rules,
     "op7_bpe_encoding": bpe.op7_bpe_encoding,
     "op9_language_id": langid.op9_language_id,
     "op10_rans_files": rans.op10_rans_files,
