@@ -1,13 +1,14 @@
 """The queries of the training-data operators, and SQL for those that SQL can express."""
 
-from tidemark.llm import bpe, chat, langid, neardup, quality, rans
+from tidemark.llm import bpe, chat, langid, neardup, quality, rans, substring
 
 QUERIES = {
     "op2_chat_formatting": chat.op2_chat_formatting,
     "op4_quality_rules": quality.op4_quality_rules,
     "op6_near_dedup": neardup.op6_near_dedup,
     "op7_bpe_encoding": bpe.op7_bpe_encoding,
+    "op8_substring_dedup": substring.op8_substring_dedup,
     "op9_language_id": langid.op9_language_id,
     "op10_rans_files": rans.op10_rans_files,
 }
-ORACLES = {"op2_chat_formatting": chat.OP2_SQL}
+ORACLES = {"op2_chat_formatting": chat.OP2_SQL, "op8_substring_dedup": substring.OP8_SQL}
