@@ -180,7 +180,7 @@ def class_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         fresh = loose.groupBy("band").agg(F.min("class").alias("head"))
         members = cut(named.select("band", "class").join(fresh, "band"), "neardup-members")
         heads = fresh.join(loose.select("band", F.col("class").alias("head"), F.col("component").alias("head_component")), ["band", "head"])
-        other = named.join(heads, "band").where(F.col("component") != F.col("head_component"))
+        other = named.drop("head").join(heads, "band").where(F.col("component") != F.col("head_component"))
         star = other.select(F.least("head", "class").alias("a"), F.greatest("head", "class").alias("b")).distinct()
         before = links.count()
         more = cut(verified(star.join(tested.select("a", "b"), ["a", "b"], "left_anti"), sets, percent), "neardup-tested")
