@@ -235,7 +235,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP8_SQL = r"""
 with words as (
-  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> '') as w from documents
+  select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents
 ), windows as (
   select doc_id, s, list_aggregate(w[s:s + 19], 'string_agg', ' ') as g
   from (select doc_id, w, unnest(range(1, len(w) - 18)) as s from words where len(w) >= 20)
