@@ -153,7 +153,7 @@ def verdicts(measured: DataFrame) -> DataFrame:
     bands = measured.where("n_tokens > 0").groupBy("band_of", "band_size").agg(F.count("*").alias("support"), *quartiles).where(F.col("support") >= SUPPORT)
     reach = {m: F.greatest((F.col(f"{m}_q")[1] - F.col(f"{m}_q")[0]) * FENCE, F.lit(slack)) for m, slack in SLACK.items()}
     ends = [c for m in SLACK for c in ((F.col(f"{m}_q")[0] - reach[m]).alias(f"{m}_low"), (F.col(f"{m}_q")[1] + reach[m]).alias(f"{m}_high"))]
-    bands = bands.select("band_of", "band_size", *ends)
+    bands = cut(bands.select("band_of", "band_size", *ends), "op4-bands")  # of known size: Spark broadcasts it only if small
     joined = measured.join(bands, ["band_of", "band_size"], "left")
     reason = F.coalesce(*(F.when((F.col(m) < F.col(f"{m}_low")) | (F.col(m) > F.col(f"{m}_high")), F.lit(m)) for m in SLACK))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
