@@ -1,8 +1,9 @@
 """The queries of the training-data operators, and SQL for those that SQL can express."""
 
-from tidemark.llm import bpe, chat, langid, neardup, quality, rans, substring
+from tidemark.llm import bpe, chat, langid, lines, neardup, quality, rans, substring
 
 QUERIES = {
+    "op1_line_dedup": lines.op1_line_dedup,
     "op2_chat_formatting": chat.op2_chat_formatting,
     "op4_quality_rules": quality.op4_quality_rules,
     "op6_near_dedup": neardup.op6_near_dedup,
