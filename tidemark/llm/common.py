@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 import numpy as np
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,23 +70,37 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class WordHashes(dict):
-    """xxHash64 of words, kept while few enough to fit in a worker's memory."""
+BASE = np.uint64(0xD1342543DE82EF95)
+BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
-    LIMIT = 300_000
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.LIMIT:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word)
-        return value
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first n powers of BASE and of its inverse; they are kept, and grow with the longest text."""
+    if len(_powers[0]) < n:
+        size = max(n, 1 << 20)
+        for k, base in enumerate((BASE, BASE_INVERSE)):
+            _powers[k] = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(size - 1, base)]))
+    return _powers[0][:n], _powers[1][:n]
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
+def range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A polynomial of the values from start to end, for each of these."""
+    up, down = powers(len(values) + 1)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * up[:-1])])
+    return (total[end] - total[start]) * down[start]
 
-#: One for each Python worker; workers serve many tasks.
-WORD_HASHES = WordHashes()
+
+def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts, one after the other, and where each text's words begin (and the last one's end)."""
+    x = np.frombuffer(b" ".join([b"", *texts, b""]), np.uint8)
+    inside = (x != 32) & (x - np.uint8(9) > 4)
+    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    start, end = edge[::2], edge[1::2]
+    hashes = mix(range_hashes(_BYTES[x], start, end) ^ (end - start).astype(np.uint64))
+    at = np.cumsum([1, *(len(t) + 1 for t in texts)])
+    return hashes, np.searchsorted(start, at)
 
 
 def slices(texts, chars: int = 1_000_000):

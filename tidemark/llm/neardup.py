@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import GOLDEN, WORD_HASHES, as_bytes, cut, drop_cut, mix, release, slices, table
+from tidemark.llm.common import GOLDEN, as_bytes, cut, drop_cut, hash_words, mix, release, slices, table
 
 BANDS, ROWS = 32, 6
 PLACES = BANDS * ROWS
@@ -37,17 +37,24 @@ LOW = np.uint64(0xFFFFFFFF)
 HALF = np.uint64(32)
 
 
-def shingle_set(text: bytes, shingle: int) -> np.ndarray:
-    """Sorted distinct hashes of the shingles; text with A-Z lowered. With fewer words, the whole sequence is the only one."""
-    words = text.lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = WORD_HASHES.of(words)
-    width = min(shingle, len(words))
-    key = np.full(len(words) - width + 1, width, np.uint64)
-    for k in range(width):
+def shingle_sets(texts: list[bytes], shingle: int) -> list[np.ndarray]:
+    """For each text, the sorted distinct hashes of its shingles, A-Z lowered. With fewer words, the whole sequence is the only one."""
+    h, bounds = hash_words([t.lower() for t in texts])
+    key = np.full(max(0, len(h) - shingle + 1), shingle, np.uint64)
+    for k in range(shingle):
         key = mix(key * GOLDEN + h[k : len(key) + k])
-    return np.unique(key)
+    sets = []
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        if b - a >= shingle:
+            sets.append(np.unique(key[a : b - shingle + 1]))
+        elif b > a:
+            short = np.full(1, b - a, np.uint64)
+            for k in range(a, b):
+                short = mix(short * GOLDEN + h[k])
+            sets.append(short)
+        else:
+            sets.append(np.zeros(0, np.uint64))
+    return sets
 
 
 def super_min_hash(sets: list[np.ndarray], places: int = PLACES) -> np.ndarray:
@@ -98,7 +105,7 @@ def sketches(docs: DataFrame, shingle: int) -> DataFrame:
         for batch in batches:
             texts = batch["text"].tolist()
             for first, last in slices(texts, 500_000):
-                sets = [shingle_set(t, shingle) for t in texts[first:last]]
+                sets = shingle_sets(texts[first:last], shingle)
                 keys = band_keys(super_min_hash(sets))
                 full = [len(s) > 0 for s in sets]
                 yield pd.DataFrame({
@@ -118,7 +125,7 @@ def full_sets(docs: DataFrame, shingle: int) -> DataFrame:
         for batch in batches:
             texts = batch["text"].tolist()
             for first, last in slices(texts):
-                sets = [shingle_set(t, shingle) for t in texts[first:last]]
+                sets = shingle_sets(texts[first:last], shingle)
                 yield pd.DataFrame({"class": [xxhash.xxh3_128_digest(s.tobytes()) for s in sets], "set": [s.view(np.int64) for s in sets]})
 
     return docs.select(as_bytes().alias("text")).mapInPandas(run, "class binary, set array<long>")

@@ -6,9 +6,11 @@ are hashes of names, so all partitions of all tasks agree on them without a tabl
 symbols wherever they stand, but for some at their edges. How far a symbol depends on its surroundings is carried along: its
 context. A window's anchor is the symbol of least name among those of the highest round whose context lies within the window;
 equal windows have equal anchors, and neighbouring ones mostly share theirs. ROUNDS is such that nearly every window holds some
-symbols of the last round: after more rounds contexts outgrow the window, after fewer a symbol says too little. Spark counts the anchors (name and context) of the corpus; windows whose anchor is unique are unique. For
-the others the windows themselves are hashed in 128 bits, Spark finds the first place of each, and all later places are
-covered. A hash that meets another by chance costs work at the first step and nothing else.
+symbols of the last round: after more rounds contexts outgrow the window, after fewer a symbol says too little. Spark counts the
+anchors (name and context) of the corpus; windows whose anchor is unique are unique. The windows in a row that share an
+anchor form a block. Of equal blocks all but the first are covered as a whole, which settles copies and the inside of long
+repeats. First blocks that share their anchor with other blocks are verified window by window: these are hashed in 128 bits,
+Spark finds the first place of each, and the later places are covered.
 
 Nulls: a null text has no words; a row without doc_id is neither compared nor changed. Rows that share a doc_id are one
 document and must share its text. Fewer than WINDOW words make no window. An empty table gives no rows; other columns
@@ -25,11 +27,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import GOLDEN, WORD_HASHES, as_bytes, cut, drop_cut, mix, release, slices, table
+from tidemark.llm.common import GOLDEN, as_bytes, cut, drop_cut, hash_words, mix, range_hashes, release, slices, table
 
 WINDOW, ROUNDS = 20, 3
-BASE = np.uint64(0xD1342543DE82EF95)
-BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
 
 
 def recompress(names: np.ndarray, doc: np.ndarray, first: np.ndarray, last: np.ndarray, rounds: int = ROUNDS) -> list[tuple[np.ndarray, ...]]:
@@ -89,8 +89,8 @@ def least_between(names: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.
     return out
 
 
-def anchors(words: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors of all windows: hash, text, first window (in its text), number of windows in a row that have it."""
+def anchors(words: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, ...]:
+    """Anchors of all windows: their hash, the hash of their block's words, the text, its first window with the anchor, the number of such windows."""
     sizes = np.diff(bounds)
     doc = np.repeat(np.arange(len(sizes)), sizes)
     first, last = bounds[:-1], bounds[1:]
@@ -98,17 +98,13 @@ def anchors(words: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> tupl
     windows = place[place + window <= last[doc]]
     key, spot = np.zeros(len(words), np.uint64), np.zeros(len(words), np.int64)
     if not len(windows):
-        return np.zeros(0, np.uint64), windows, windows, windows
-    powers = np.cumprod(np.full(len(words), BASE))
-    inverse = np.cumprod(np.full(len(words), BASE_INVERSE))
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(words) * powers)])
-    rest = windows
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), windows, windows, windows
+    values, rest = mix(words), windows
     for name, start, _, low, high in recompress(words, doc, first, last)[::-1]:
         k, end = np.searchsorted(low, rest, "left"), np.searchsorted(high, rest + window, "right") - 1
         found = k <= end
         at, k = rest[found], least_between(name, k[found], end[found])
-        content = (total[high[k]] - total[low[k]]) * inverse[low[k]]
-        key[at] = mix(mix(name[k] + GOLDEN * (start[k] - low[k]).astype(np.uint64)) ^ content)
+        key[at] = mix(mix(name[k] + GOLDEN * (start[k] - low[k]).astype(np.uint64)) ^ range_hashes(values, low[k], high[k]))
         spot[at] = start[k]
         rest = rest[~found]
         if not len(rest):
@@ -117,7 +113,9 @@ def anchors(words: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> tupl
     head = np.ones(len(windows), bool)
     head[1:] = (own[1:] != own[:-1]) | (np.diff(spot[windows]) != 0) | (np.diff(windows) != 1)
     at = np.flatnonzero(head)
-    return own[at], doc[windows[at]], windows[at] - first[doc[windows[at]]], np.diff(np.append(at, len(windows)))
+    begin, count = windows[at], np.diff(np.append(at, len(windows)))
+    block = mix(range_hashes(values ^ GOLDEN, begin, begin + count + window - 1) + count.astype(np.uint64))
+    return own[at], block, doc[begin], begin - first[doc[begin]], count
 
 
 def window_hashes(words: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
@@ -139,65 +137,81 @@ def window_hashes(words: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray,
 
 
 def anchor_rows(docs: DataFrame) -> DataFrame:
-    """key, doc_id, span (first window times 32, plus the number of windows) of every anchor."""
+    """key, block, doc_id, span (first window times 32, plus the number of windows) of every anchor."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts, ids = batch["text"].tolist(), batch["doc_id"].to_numpy()
-            for begin, stop in slices(texts):
-                split = [t.split() for t in texts[begin:stop]]
-                bounds = np.concatenate([[0], np.cumsum([len(w) for w in split])])
-                words = WORD_HASHES.of([w for own in split for w in own])
-                key, doc, at, n = anchors(words, bounds)
-                yield pd.DataFrame({"key": key.view(np.int64), "doc_id": ids[begin + doc], "span": at * 32 + n})
+            for begin, stop in slices(texts, 300_000):
+                key, block, doc, at, n = anchors(*hash_words(texts[begin:stop]))
+                yield pd.DataFrame({"key": key.view(np.int64), "block": block.view(np.int64), "doc_id": ids[begin + doc], "span": at * 32 + n})
 
-    return docs.where("doc_id is not null").select("doc_id", as_bytes().alias("text")).mapInPandas(run, "key long, doc_id long, span long")
+    rows = docs.where("doc_id is not null").select("doc_id", as_bytes().alias("text"))
+    return rows.mapInPandas(run, "key long, block long, doc_id long, span long")
+
+
+def starts_of(spans: np.ndarray, n: int) -> np.ndarray:
+    """The starts, below n, that the spans hold."""
+    edge = np.zeros(n + 1, np.int64)
+    np.add.at(edge, np.minimum(spans >> 5, n), 1)
+    np.add.at(edge, np.minimum((spans >> 5) + (spans & 31), n), -1)
+    return np.flatnonzero(np.cumsum(edge)[:n])
 
 
 def window_rows(texts: DataFrame) -> DataFrame:
-    """h1, h2, doc_id, start of the windows that the spans of each text name."""
+    """h1, h2, doc_id, span of the windows that the spans of each text name."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts, ids, spans = batch["text"].tolist(), batch["doc_id"].to_numpy(), batch["spans"].tolist()
-            for begin, stop in slices(texts):
-                parts = []
+            for begin, stop in slices(texts, 300_000):
+                words, bounds = hash_words(texts[begin:stop])
+                a, b = window_hashes(words)
+                at, own = [np.zeros(0, np.int64)], [0] * (stop - begin)
                 for i in range(begin, stop):
-                    words = WORD_HASHES.of(texts[i].split())
-                    span = np.asarray(spans[i], np.int64)
-                    n = len(words) - WINDOW + 1
-                    if n < 1:
-                        continue
-                    edge = np.zeros(n + 1, np.int64)
-                    np.add.at(edge, np.minimum(span >> 5, n), 1)
-                    np.add.at(edge, np.minimum((span >> 5) + (span & 31), n), -1)
-                    at = np.flatnonzero(np.cumsum(edge)[:n])
-                    a, b = window_hashes(words)
-                    parts.append((a[at].view(np.int64), b[at].view(np.int64), np.full(len(at), ids[i]), at))
-                if parts:
-                    yield pd.DataFrame(dict(zip(("h1", "h2", "doc_id", "start"), map(np.concatenate, zip(*parts)), strict=True)))
-
-    return texts.mapInPandas(run, "h1 long, h2 long, doc_id long, start int")
-
-
-def covered_starts(docs: DataFrame) -> DataFrame:
-    """doc_id, starts: the windows of a document that stand earlier too."""
+                    here = starts_of(np.asarray(spans[i], np.int64), max(0, bounds[i - begin + 1] - bounds[i - begin] - WINDOW + 1))
+                    at.append(here + bounds[i - begin])
+                    own[i - begin] = len(here)
+                at, doc = np.concatenate(at), np.repeat(np.arange(begin, stop), own)
+                start = at - bounds[doc - begin]
+                yield pd.DataFrame({"h1": a[at].view(np.int64), "h2": b[at].view(np.int64), "doc_id": ids[doc], "span": start * 32 + 1})
+
+    return texts.mapInPandas(run, "h1 long, h2 long, doc_id long, span long")
+
+
+def later_places(rows: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Of rows (by, doc_id, span): the first place of each by, as first; and doc_id, span of all later ones."""
+    place = F.struct("doc_id", "span")
+    first = rows.groupBy(*by).agg(F.min(place).alias("first"), F.count("*").alias("n"))
+    again = first.where("n > 1").select(*by, "first")
+    return first, rows.join(again, by).where(place != F.col("first")).select("doc_id", "span")
+
+
+def covered(docs: DataFrame) -> DataFrame:
+    """doc_id, spans: the windows of a document that stand earlier too."""
     spark = docs.sparkSession
-    rows = anchor_rows(docs)
+    rows = cut(anchor_rows(docs), "op8-anchors")
     shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    named = cut(rows.join(shared, "key").groupBy("doc_id").agg(F.collect_list("span").alias("spans")), "op8-spans")
+    blocks = cut(rows.join(shared, "key"), "op8-blocks")
+    drop_cut(rows)
     release(spark)
-    texts = docs.select("doc_id", as_bytes().alias("text")).join(named, "doc_id")
+    first, later = later_places(blocks, ["key", "block"])
+    copied = cut(later, "op8-copied")
+    first = cut(first.select("key", "first.*"), "op8-first")
+    drop_cut(blocks)
+    release(spark)
+    several = first.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    named = first.join(several, "key").groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
+    texts = docs.select("doc_id", as_bytes().alias("text")).join(cut(named, "op8-named"), "doc_id")
     windows = cut(window_rows(texts), "op8-windows")
+    drop_cut(first)
     release(spark)
-    place = F.struct("doc_id", "start")
-    first = windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    later = windows.join(first, ["h1", "h2"]).where(place != F.col("first"))
-    starts = cut(later.groupBy("doc_id").agg(F.collect_set("start").alias("starts")), "op8-starts")
-    drop_cut(named)
+    _, later = later_places(windows, ["h1", "h2"])
+    spans = cut(copied.unionByName(later).groupBy("doc_id").agg(F.collect_list("span").alias("spans")), "op8-covered")
+    drop_cut(copied)
     drop_cut(windows)
     release(spark)
-    return starts
+    return spans
 
 
 def without_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
@@ -206,25 +220,23 @@ def without_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            texts, starts = batch["text"].tolist(), batch["starts"].tolist()
-            for begin, stop in slices(texts):
-                rows = []
-                for i in range(begin, stop):
-                    words = texts[i].split()
-                    n = len(words)
-                    if starts[i] is not None and len(starts[i]):
-                        edge = np.zeros(n + WINDOW + 1, np.int64)
-                        at = np.asarray(starts[i])
-                        np.add.at(edge, np.minimum(at, n), 1)
-                        np.add.at(edge, np.minimum(at, n) + WINDOW, -1)
-                        words = [words[k] for k in np.flatnonzero(np.cumsum(edge)[:n] == 0).tolist()]
-                    kept = b" ".join(words)
-                    rows.append((n, n - len(words), sha256(kept).hexdigest(), *[kept.decode()] * with_text))
-                out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")[1:]])
-                out.insert(0, "doc_id", batch["doc_id"].iloc[begin:stop].to_numpy())
-                yield out
-
-    joined = docs.select("doc_id", as_bytes().alias("text")).join(covered_starts(docs), "doc_id", "left")
+            rows = []
+            for text, spans in zip(batch["text"], batch["spans"], strict=True):
+                words = text.split()
+                n = len(words)
+                if spans is not None:
+                    gone = np.zeros(n + WINDOW, np.int64)
+                    starts = starts_of(np.asarray(spans, np.int64), n)
+                    np.add.at(gone, starts, 1)
+                    np.add.at(gone, starts + WINDOW, -1)
+                    words = [words[k] for k in np.flatnonzero(np.cumsum(gone)[:n] == 0).tolist()]
+                kept = b" ".join(words)
+                rows.append((n, n - len(words), sha256(kept).hexdigest(), *[kept.decode()] * with_text))
+            out = pd.DataFrame(rows, columns=[c.split()[0] for c in schema.split(", ")[1:]])
+            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
+            yield out
+
+    joined = docs.select("doc_id", as_bytes().alias("text")).join(covered(docs), "doc_id", "left")
     return joined.withColumn("doc_id", F.col("doc_id").cast("string")).mapInPandas(run, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
