@@ -1,10 +1,11 @@
 """The queries of the training-data operators, and SQL for those that SQL can express."""
 
-from tidemark.llm import bpe, chat, decontaminate, langid, lines, neardup, quality, rans, substring
+from tidemark.llm import bpe, chat, decontaminate, langid, lines, neardup, pii, quality, rans, substring
 
 QUERIES = {
     "op1_line_dedup": lines.op1_line_dedup,
     "op2_chat_formatting": chat.op2_chat_formatting,
+    "op3_pii": pii.op3_pii,
     "op4_quality_rules": quality.op4_quality_rules,
     "op5_decontamination": decontaminate.op5_decontamination,
     "op6_near_dedup": neardup.op6_near_dedup,
