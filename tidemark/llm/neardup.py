@@ -6,10 +6,10 @@ the element offers j plus a random fraction to the j-th place of its permutation
 batch gives the same minima as element by element, and a document stops as soon as no place can still fall (early stopping).
 
 Signatures are cut into BANDS bands of ROWS places; classes that share a band are candidates. Within a shared band all are
-compared with one head, so pairs grow with the members. What did not link with its head is then compared with the other
-members outside its component: by further heads while that would be many pairs, then directly, without those that the
-triangle inequality on distances to the head rules out. So no candidate pair of a band is left out. Every link is confirmed
-on the full sets. Links are grouped by contraction: nodes move to their least neighbour until no link is left.
+compared with one head, so pairs grow with the members. What did not link with its head's component is loose: it is compared
+with some further heads, and what is loose then with every member of the other components in its bands, block against
+block, so that no row stands for a single pair. No candidate pair of a band is left out. Every link is confirmed on the full
+sets. Links are grouped by contraction: nodes move to their least neighbour until no link is left.
 
 Recall of candidates: a pair of similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS, over 0.9999 at 0.8.
 
@@ -32,6 +32,8 @@ from tidemark.llm.common import GOLDEN, as_bytes, cut, drop_cut, hash_words, mix
 
 BANDS, ROWS = 32, 6
 PLACES = BANDS * ROWS
+#: Turns of further heads before blocks, and elements in a block of sets.
+HEAD_TURNS, BLOCK = 3, 100_000
 UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
 LOW = np.uint64(0xFFFFFFFF)
 HALF = np.uint64(32)
@@ -167,46 +169,63 @@ def _with_component(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(named, "class", "left").withColumn("component", F.coalesce("component", "class"))
 
 
+def _blocks(rows: DataFrame, sets: DataFrame, key: str, out: str) -> DataFrame:
+    """Of rows (key, class): the sets of each key in blocks of about BLOCK elements, as key, out (array of class and set)."""
+    sized = rows.join(sets.select("class", F.size("set").alias("n")), "class")
+    blocks = sized.groupBy(key).agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
+    dealt = sized.join(blocks, key).select(key, "class", F.pmod(F.xxhash64("class"), "blocks").alias("block"))
+    return dealt.join(sets, "class").groupBy(key, "block").agg(F.collect_list(F.struct("class", "set")).alias(out)).drop("block")
+
+
+def block_links(loose: DataFrame, named: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """A link (a, b) of each loose class with each block of another component where it has one. loose, named: band, class, component."""
+    beside = named.select("band", F.col("component").alias("other")).distinct()
+    asked = loose.select("band", "class", "component").join(beside, "band").where("component <> other").select("class", "other").distinct()
+    asked = cut(asked, "neardup-asked")
+    left = _blocks(asked, sets, "other", "left")
+    whole = named.select("class", F.col("component").alias("other")).distinct().join(asked.select("other").distinct(), "other", "left_semi")
+    right = _blocks(whole, sets, "other", "right")
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = []
+            for left, right in zip(batch["left"], batch["right"], strict=True):
+                flat, sizes = np.concatenate([y["set"] for y in right]), np.array([len(y["set"]) for y in right])
+                first = np.cumsum(sizes) - sizes
+                for x in left:
+                    both = np.add.reduceat(np.isin(flat, x["set"], assume_unique=False), first, dtype=np.int64)
+                    linked = np.flatnonzero(100 * both >= percent * (sizes + len(x["set"]) - both))
+                    if len(linked):
+                        found.append((x["class"], right[linked[0]]["class"]))
+            yield pd.DataFrame(found, columns=["a", "b"])
+
+    pairs = left.join(right, "other").select("left", "right").mapInPandas(compare, "a binary, b binary")
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def class_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed links that connect what the candidate pairs of every band connect. members: band, class, head (least class of the band)."""
     star = members.where(F.col("class") != F.col("head")).select(F.col("head").alias("a"), F.col("class").alias("b")).distinct()
-    tested = cut(verified(star, sets, percent), "neardup-tested")
-    links = tested.where("linked")
-    n_members = members.count()
-    while True:
+    links = cut(verified(star, sets, percent).where("linked").select("a", "b"), "neardup-links")
+    for turn in range(HEAD_TURNS + 1):
         named = cut(_with_component(members, components(links, "neardup")), "neardup-named")
         heads = named.where(F.col("class") == F.col("head")).select("band", F.col("component").alias("head_component"))
         loose = cut(named.join(heads, "band").where(F.col("component") != F.col("head_component")), "neardup-loose")
-        sizes = loose.groupBy("band").agg(F.count("*").alias("loose")).join(named.groupBy("band").agg(F.count("*").alias("all")), "band")
-        size = sizes.agg(F.sum(F.col("loose") * F.col("all")).alias("pairs"), F.max("all").alias("largest")).first()
-        if not size["pairs"]:
+        if loose.isEmpty():
             return links
-        if size["pairs"] <= 20 * max(n_members, 10_000):
-            break
-        # many pairs: another head for each band with loose members, the least of them; what links with it is loose no more
-        fresh = loose.groupBy("band").agg(F.min("class").alias("head"))
-        members = cut(named.select("band", "class").join(fresh, "band"), "neardup-members")
-        heads = fresh.join(loose.select("band", F.col("class").alias("head"), F.col("component").alias("head_component")), ["band", "head"])
-        other = named.drop("head").join(heads, "band").where(F.col("component") != F.col("head_component"))
-        star = other.select(F.least("head", "class").alias("a"), F.greatest("head", "class").alias("b")).distinct()
-        before = links.count()
-        more = cut(verified(star.join(tested.select("a", "b"), ["a", "b"], "left_anti"), sets, percent), "neardup-tested")
-        tested = tested.unionByName(more)
-        links = links.unionByName(more.where("linked"))
-        if links.count() == before:
-            break  # heads bring no more; the rest is compared directly
-    near = tested.select(F.col("a").alias("head"), F.col("b").alias("class"), "similarity")
-    x = loose.select("band", F.col("class").alias("x"), F.col("component").alias("x_component"), "head").join(
-        near.withColumnsRenamed({"class": "x", "similarity": "x_near"}), ["head", "x"], "left"
-    )
-    y = named.select("band", F.col("class").alias("y"), F.col("component").alias("y_component"), "head").join(
-        near.withColumnsRenamed({"class": "y", "similarity": "y_near"}), ["head", "y"], "left"
-    )
-    apart = F.coalesce(F.abs(F.col("x_near") - F.col("y_near")) > 1 - percent / 100 + 1e-9, F.lit(False))
-    pairs = x.drop("head").join(y, "band").where((F.col("x_component") != F.col("y_component")) & (F.col("y") != F.col("head")) & ~apart)
-    pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    more = cut(verified(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"), sets, percent), "neardup-tested")
-    return links.unionByName(more.where("linked"))
+        if turn < HEAD_TURNS:
+            # what is loose is compared with other heads first, as many as it has bands: most links are found so
+            order = F.xxhash64("class", F.lit(turn))
+            bands = loose.select("band").distinct()
+            heads = named.join(bands, "band").groupBy("band").agg(F.min_by(F.struct("class", "component"), order).alias("other"))
+            star = loose.join(heads, "band").where(F.col("component") != F.col("other.component"))
+            star = star.select(F.least("class", "other.class").alias("a"), F.greatest("class", "other.class").alias("b")).distinct()
+            more = verified(star, sets, percent).where("linked").select("a", "b")
+        else:
+            # the rest with all members of the components beside it, in blocks
+            more = block_links(loose, named, sets, percent)
+        links = cut(links.unionByName(more).distinct(), "neardup-links")
+    return links
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
