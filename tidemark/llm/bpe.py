@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, table, with_key
+from tidemark.llm.common import placed_words, slices, table, with_key
 
 #: Fixed value: the pattern of the byte-level vocabulary that cuts a text into pretokens.
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -49,22 +49,18 @@ def byte_letters() -> dict[str, int]:
 class Recent:
     """A bounded cache in two generations: what is used again stays."""
 
-    def __init__(self, limit: int = 150_000):
+    def __init__(self, limit: int = 300_000):
         self.limit, self.new, self.old = limit, {}, {}
 
     def get_many(self, keys: list, make: Callable[[list], list]) -> list:
         """Values of the keys; make gets the distinct unknown ones and gives their values."""
         new, old = self.new, self.old
-        unknown = []
-        for key in set(keys):
-            if key not in new:
-                if key in old:
-                    new[key] = old[key]
-                else:
-                    unknown.append(key)
+        unknown = set(keys).difference(new)
         if unknown:
-            unknown.sort()
-            new.update(zip(unknown, make(unknown), strict=True))
+            again = {k: old[k] for k in unknown if k in old}
+            new.update(again)
+            fresh = sorted(unknown.difference(again))
+            new.update(zip(fresh, make(fresh), strict=True))
         found = list(map(new.__getitem__, keys))
         if len(new) > self.limit:
             self.new, self.old = {}, new
@@ -92,7 +88,7 @@ class PairIndexBPE:
         self.rank = {ids[a] << 20 | ids[b]: r for r, (a, b) in enumerate(merges)}
         self.merged = [(ids[a], ids[b], ids[a + b]) for a, b in merges]
         self.cut_special = regex.compile("|".join(f"({regex.escape(t)})" for t in sorted(self.special, key=len, reverse=True))) if self.special else None
-        self.chunks, self.pretokens = Recent(), Recent(100_000)
+        self.chunks, self.pretokens = Recent(150_000), Recent(100_000)
 
     def merge(self, pretokens: list[str]) -> list[bytes]:
         """Ids of each pretoken as unsigned 32-bit integers."""
@@ -184,9 +180,14 @@ def pair_index(path: str) -> PairIndexBPE:
 
 
 class LibraryBPE:
-    """Encoder of a vocabulary file of the tokenizers library whose pretokens never hold white space: every chunk between spaces or line feeds is encoded by the library once."""
+    """Encoder of a vocabulary file of the tokenizers library whose pretokens never hold white space and end in tokens marked ``</w>``.
+
+    Every chunk between ASCII spaces, found by its 64-bit hash, is encoded by the library once while it is in the cache. Words
+    of letters are sent to it many at a time, as one text, and told apart by the marked tokens. Ids fit in 16 bits.
+    """
 
     PUNCTUATION = frozenset(".,;:!?")
+    TOGETHER = 2000
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -195,38 +196,76 @@ class LibraryBPE:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.chunks = Recent()
-
-    def _library(self, chunks: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch_fast(chunks, add_special_tokens=False)]
-
-    def _chunks(self, chunks: list[str]) -> list[bytes]:
-        # letters and the one mark behind them are separate pretokens, and case is dropped: fewer calls of the library
-        cores = [(c[:-1], c[-1]) if len(c) > 1 and c[-1] in self.PUNCTUATION and c[:-1].isalpha() else (c, "") for c in chunks]
-        cores = [(a.lower() if a.isascii() and a.isalpha() else a, b) for a, b in cores]
-        names = sorted({x for pair in cores for x in pair if x})
-        known = dict(zip(names, self._library(names), strict=True)) | {"": b""}
-        return [known[a] + known[b] for a, b in cores]
+        vocabulary_ = self.library.get_vocab()
+        if max(vocabulary_.values()) >= 1 << 16:
+            raise ValueError("ids must fit in 16 bits")
+        self.last = np.zeros(1 << 16, bool)
+        self.last[[i for token, i in vocabulary_.items() if token.endswith("</w>")]] = True
+        self.chunks, self.words = Recent(400_000), Recent(300_000)
+
+    def _apart(self, texts: list[str]) -> list[bytes]:
+        return [np.array(e.ids, "<u2").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters; a word that the library cuts in two makes its group be encoded word by word."""
+        out = []
+        groups = [words[i : i + self.TOGETHER] for i in range(0, len(words), self.TOGETHER)]
+        for group, encoding in zip(groups, self.library.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+            ids = np.array(encoding.ids, "<u2")
+            ends = 2 * (np.flatnonzero(self.last[ids]) + 1)
+            if len(ends) != len(group) or not len(ids) or ends[-1] != 2 * len(ids):
+                out += self._apart(group)
+                continue
+            packed, bounds = ids.tobytes(), [0, *ends.tolist()]
+            out += [packed[a:b] for a, b in zip(bounds, bounds[1:])]
+        return out
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        listed = [t.replace("\n", " ").split(" ") for t in texts]
-        flat = self.chunks.get_many([c for own in listed for c in own], self._chunks)
-        out, at = [], 0
-        for own in listed:
-            out.append(b"".join(flat[at : at + len(own)]))
-            at += len(own)
+    def _chunks(self, chunks: list[bytes]) -> list[bytes]:
+        # letters and the one mark behind them are separate pretokens: fewer words for the library
+        words, places, others, marks = [], [], [], []
+        out: list[bytes] = [b""] * len(chunks)
+        for i, raw in enumerate(chunks):
+            chunk = raw.decode("utf-8", "surrogatepass")
+            mark = chunk[-1] if chunk[-1] in self.PUNCTUATION else ""
+            core = chunk[:-1] if mark else chunk
+            if core.isalpha():
+                words.append(core)
+                places.append(i)
+                marks.append(mark)
+            else:
+                others.append(i)
+        of_mark = dict(zip(sorted(self.PUNCTUATION), self._apart(sorted(self.PUNCTUATION)), strict=True)) | {"": b""}
+        for i, ids, mark in zip(places, self.words.get_many(words, self._words), marks, strict=True):
+            out[i] = ids + of_mark[mark]
+        for i, ids in zip(others, self._apart([chunks[i].decode("utf-8", "surrogatepass") for i in others]), strict=True):
+            out[i] = ids
         return out
 
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of each text, given in UTF-8, as unsigned 16-bit integers."""
+        # the vocabulary drops case; A-Z are lowered here, but where a combining mark (lead bytes CC and CD) could compose with them
+        hashes, bounds, joined, start, end = placed_words([t if b"\xcc" in t or b"\xcd" in t else t.lower() for t in texts])
+        distinct, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
+        at = dict(zip(distinct.tolist(), zip(start[sample].tolist(), end[sample].tolist())))
+        known = self.chunks.get_many(list(at), lambda new: self._chunks([joined[slice(*at[k])] for k in new]))
+        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 2
+        ids, first = np.frombuffer(b"".join(known), "<u2"), np.cumsum(sizes) - sizes
+        count = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(count)])
+        out = ids[np.repeat(first[which] - ends[:-1], count) + np.arange(ends[-1])].tobytes()
+        at = (2 * ends[bounds]).tolist()
+        return [out[a:b] for a, b in zip(at, at[1:])]
+
 
 @lru_cache(2)
 def library(path: str) -> LibraryBPE:
     return LibraryBPE(path)
 
 
-def texts_of(batch: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, list[str]]]:
-    """Parts of a batch of about a million characters, with their texts, null as empty."""
+def texts_of(batch: pd.DataFrame, size: int = 2_000_000) -> Iterator[tuple[pd.DataFrame, list]]:
+    """Parts of a batch of about so many characters or bytes, with their texts, null as empty."""
     texts = ["" if t is None else t for t in batch["text"]]
-    for first, last in slices(texts):
+    for first, last in slices(texts, size):
         yield batch.iloc[first:last], texts[first:last]
 
 

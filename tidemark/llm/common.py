@@ -94,13 +94,19 @@ def range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.n
 
 def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of all texts, one after the other, and where each text's words begin (and the last one's end)."""
-    x = np.frombuffer(b" ".join([b"", *texts, b""]), np.uint8)
+    return placed_words(texts)[:2]
+
+
+def placed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, bytes, np.ndarray, np.ndarray]:
+    """What hash_words gives, a string that holds all words, and where each word starts and ends in it."""
+    joined = b" ".join([b"", *texts, b""])
+    x = np.frombuffer(joined, np.uint8)
     inside = (x != 32) & (x - np.uint8(9) > 4)
     edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
     start, end = edge[::2], edge[1::2]
     hashes = mix(range_hashes(_BYTES[x], start, end) ^ (end - start).astype(np.uint64))
     at = np.cumsum([1, *(len(t) + 1 for t in texts)])
-    return hashes, np.searchsorted(start, at)
+    return hashes, np.searchsorted(start, at), joined, start, end
 
 
 def slices(texts, chars: int = 1_000_000):

@@ -29,14 +29,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import library, texts_of, vocabulary
-from tidemark.llm.common import cut, drop_cut, shared_dir, table, with_key
+from tidemark.llm.common import as_bytes, cut, drop_cut, shared_dir, table, with_key
 
 MAGIC = b"TMRANS01"
 SCALE_BITS = 20
 LOWEST = np.uint64(1 << 31)
-LANES = 512
-SEGMENT_ROWS = 256
-BLOCK_IDS = 4 * LANES * SEGMENT_ROWS
+LANES = 2048
+SEGMENT_ROWS = 128
+BLOCK_IDS = 3 * LANES * SEGMENT_ROWS
+BLOCKS_A_TASK = 12
 END_ID = 2
 
 
@@ -55,7 +56,7 @@ class Frequencies:
     def symbols(self) -> np.ndarray:
         """The id of each slot."""
         if self._symbols is None:
-            self._symbols = np.repeat(np.arange(len(self.share), dtype=np.uint32), self.share.astype(np.int64))
+            self._symbols = np.repeat(np.arange(len(self.share), dtype=np.uint16), self.share.astype(np.int64))
         return self._symbols
 
     def __getstate__(self):
@@ -154,13 +155,12 @@ def encode_ids(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataF
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe = library(path)
-        end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
+        end = b"" if end_id is None else np.array([end_id], "<u2").tobytes()
         for batch in batches:
             for part, texts in texts_of(batch):
-                ids = [np.frombuffer(x + end, "<u4") for x in bpe.encode(texts)]
-                yield pd.DataFrame({"doc_id": part["doc_id"], "ids": [x.astype("<u2").tobytes() for x in ids]})
+                yield pd.DataFrame({"doc_id": part["doc_id"], "ids": [x + end for x in bpe.encode(texts)]})
 
-    return with_key(docs).mapInPandas(run, "doc_id string, ids binary").withColumn("doc_id", F.col("doc_id").cast("long"))
+    return with_key(docs.withColumn("text", as_bytes())).mapInPandas(run, "doc_id string, ids binary").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def frequencies(ids: DataFrame, size: int) -> Frequencies:
@@ -250,7 +250,7 @@ def read_files(spark: SparkSession, folder: str, blocks: pd.DataFrame, table_: F
 
     schema = "doc_id long, start long, n_tokens long, " + ("ids_crc32 long" if digest else "ids binary")
     listed = spark.createDataFrame(blocks, "path string, offset long, length long, n_ids long, start long")
-    return listed.repartition(max(1, min(len(blocks), 4000))).mapInPandas(run, schema)
+    return listed.repartition(-(-len(blocks) // BLOCKS_A_TASK) or 1).mapInPandas(run, schema)
 
 
 def op10_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
