@@ -76,6 +76,7 @@ class PairIndexBPE:
         ids, letters = spec["model"]["vocab"], byte_letters()
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max([*ids.values(), *self.special.values()]) + 1
+        self.packed_special = {token: np.array([i], "<u4").tobytes() for token, i in self.special.items()}
         self.token_bytes = [b""] * size
         for token, i in ids.items():
             self.token_bytes[i] = bytes(letters[c] for c in token)
@@ -88,7 +89,7 @@ class PairIndexBPE:
         self.rank = {ids[a] << 20 | ids[b]: r for r, (a, b) in enumerate(merges)}
         self.merged = [(ids[a], ids[b], ids[a + b]) for a, b in merges]
         self.cut_special = regex.compile("|".join(f"({regex.escape(t)})" for t in sorted(self.special, key=len, reverse=True))) if self.special else None
-        self.chunks, self.pretokens = Recent(150_000), Recent(100_000)
+        self.chunks, self.pretokens = Recent(400_000), Recent(300_000)
 
     def merge(self, pretokens: list[str]) -> list[bytes]:
         """Ids of each pretoken as unsigned 32-bit integers."""
@@ -142,33 +143,27 @@ class PairIndexBPE:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, with those of special tokens that stand in it, as unsigned 32-bit integers."""
         listed: list[list[str]] = []
-        slow: dict[int, bytes] = {}
-        for i, text in enumerate(texts):
+        heads: list[list[str]] = []
+        for text in texts:
             if not text or IRREGULAR.search(text) or (self.cut_special and self.cut_special.search(text)):
-                slow[i] = self._whole(text)
+                heads.append(self._pretokens(text))
                 listed.append([])
             else:
                 first, *rest = text.replace("\n", " \n").split(" ")
-                head = PRETOKEN.findall(first)
-                slow[i] = b"".join(self.pretokens.get_many(head, self.merge))
+                heads.append(PRETOKEN.findall(first))
                 listed.append(rest)
+        plain = iter(self.pretokens.get_many([p for own in heads for p in own if p not in self.special], self.merge))
         flat = self.chunks.get_many([c for own in listed for c in own], self._chunks)
         out, at = [], 0
-        for i, own in enumerate(listed):
-            out.append(slow[i] + b"".join(flat[at : at + len(own)]))
+        for head, own in zip(heads, listed, strict=True):
+            out.append(b"".join([self.packed_special[p] if p in self.special else next(plain) for p in head] + flat[at : at + len(own)]))
             at += len(own)
         return out
 
-    def _whole(self, text: str) -> bytes:
-        out = []
-        for part in (self.cut_special.split(text) if self.cut_special else [text]):
-            if part is None:
-                continue
-            if part in self.special:
-                out.append(np.array([self.special[part]], "<u4").tobytes())
-            else:
-                out += self.pretokens.get_many(PRETOKEN.findall(part), self.merge)
-        return b"".join(out)
+    def _pretokens(self, text: str) -> list[str]:
+        """Pretokens of any text, special tokens among them as they stand."""
+        parts = self.cut_special.split(text) if self.cut_special else [text]
+        return [p for part in parts if part for p in ([part] if part in self.special else PRETOKEN.findall(part))]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
