@@ -179,34 +179,40 @@ def window_rows(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(run, "h1 long, h2 long, doc_id long, span long")
 
 
-def later_places(rows: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Of rows (by, doc_id, span): the first place of each by, as first; and doc_id, span of all later ones."""
-    place = F.struct("doc_id", "span")
-    first = rows.groupBy(*by).agg(F.min(place).alias("first"), F.count("*").alias("n"))
+def first_places(rows: DataFrame, by: list[str], label: str) -> DataFrame:
+    """by, first (doc_id, span of the first place), n, written: so Spark can split a hot key of what is joined with it."""
+    return cut(rows.groupBy(*by).agg(F.min(F.struct("doc_id", "span")).alias("first"), F.count("*").alias("n")), label)
+
+
+def later_places(rows: DataFrame, by: list[str], first: DataFrame) -> DataFrame:
+    """doc_id, span of all places but the first ones."""
     again = first.where("n > 1").select(*by, "first")
-    return first, rows.join(again, by).where(place != F.col("first")).select("doc_id", "span")
+    return rows.join(again, by).where(F.struct("doc_id", "span") != F.col("first")).select("doc_id", "span")
+
+
+def repeated(rows: DataFrame, label: str) -> DataFrame:
+    """Keys of two rows or more."""
+    return cut(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), label)
 
 
 def covered(docs: DataFrame) -> DataFrame:
     """doc_id, spans: the windows of a document that stand earlier too."""
     spark = docs.sparkSession
     rows = cut(anchor_rows(docs), "op8-anchors")
-    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    blocks = cut(rows.join(shared, "key"), "op8-blocks")
+    blocks = cut(rows.join(repeated(rows, "op8-shared"), "key"), "op8-blocks")
     drop_cut(rows)
     release(spark)
-    first, later = later_places(blocks, ["key", "block"])
-    copied = cut(later, "op8-copied")
-    first = cut(first.select("key", "first.*"), "op8-first")
+    first = first_places(blocks, ["key", "block"], "op8-first")
+    copied = cut(later_places(blocks, ["key", "block"], first), "op8-copied")
     drop_cut(blocks)
     release(spark)
-    several = first.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    named = first.join(several, "key").groupBy("doc_id").agg(F.collect_list("span").alias("spans"))
-    texts = docs.select("doc_id", as_bytes().alias("text")).join(cut(named, "op8-named"), "doc_id")
-    windows = cut(window_rows(texts), "op8-windows")
+    # first blocks that share their anchor with others are taken apart
+    several = first.select("key", "first.*").join(repeated(first, "op8-several"), "key")
+    named = cut(several.groupBy("doc_id").agg(F.collect_list("span").alias("spans")), "op8-named")
+    windows = cut(window_rows(docs.select("doc_id", as_bytes().alias("text")).join(named, "doc_id")), "op8-windows")
     drop_cut(first)
     release(spark)
-    _, later = later_places(windows, ["h1", "h2"])
+    later = later_places(windows, ["h1", "h2"], first_places(windows, ["h1", "h2"], "op8-places"))
     spans = cut(copied.unionByName(later).groupBy("doc_id").agg(F.collect_list("span").alias("spans")), "op8-covered")
     drop_cut(copied)
     drop_cut(windows)
