@@ -237,7 +237,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     )
     banded = classes.select("class", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("class").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = cut(banded.join(shared, "band"), "neardup-members")
+    members = cut(banded.join(cut(shared, "neardup-shared"), "band"), "neardup-members")  # written first: a hot band can then be split
     release(spark)
     wanted = members.select("class").distinct().join(classes.select("class", "first_id"), "class")
     # texts are read once more for candidates only
