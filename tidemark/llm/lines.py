@@ -89,6 +89,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     most = max(RARE_LEAST, RARE_SHARE * lines.count())
     placed = lines.select("doc_id", F.explode("own").alias("line"))
     rare = placed.groupBy("line").agg(F.min("doc_id").alias("earlier"), F.count("*").alias("n")).where(F.col("n").between(2, most)).drop("n")
+    rare = cut(rare, "op1-rare")  # written first: Spark can then split a hot line of what is joined with it
     pairs = cut(placed.join(rare, "line").where("doc_id <> earlier").select("earlier", "doc_id").distinct(), "op1-pairs")
     release(spark)
 
