@@ -128,11 +128,11 @@ def personal_data(docs: DataFrame) -> DataFrame:
     graph = cut(graph.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "op3-graph")
     # patterns without enough seeds never count: what is left is small beside the graph
     useful = graph.groupBy("pattern").agg(F.sum("seed").alias("seeds")).where(F.col("seeds") >= SUPPORT).select("pattern")
-    edges = cut(graph.join(useful, "pattern").withColumn("score", F.col("seed").cast("double")), "op3-edges")
+    edges = cut(graph.join(cut(useful, "op3-useful"), "pattern").withColumn("score", F.col("seed").cast("double")), "op3-edges")
     drop_cut(graph)
     for _ in range(ROUNDS):
         confidence = edges.groupBy("pattern").agg((F.sum("score") / (F.count("*") + 1)).alias("confidence"))
-        scored = edges.select("pattern", "value", "seed").join(confidence, "pattern")
+        scored = edges.select("pattern", "value", "seed").join(cut(confidence, "op3-confidence"), "pattern")
         open_ = F.exp(F.sum(F.when(F.col("confidence") >= 0.5, F.log(1 - F.col("confidence"))).otherwise(0.0)))
         score = scored.groupBy("value").agg(F.when(F.max("seed") == 1, 1.0).otherwise(1 - open_).alias("score"))
         edges = cut(edges.select("pattern", "value", "seed").join(score, "value"), "op3-edges")
