@@ -17,6 +17,8 @@ from tidemark.session import shipped
 #: Below this score a text is taken for no language that was learned.
 LEAST_SCORE = 0.4
 SHINGLE, PERCENT = 5, 80
+#: Columns that stages add for themselves.
+OWN = ("_tidemark_0", "_tidemark_1")
 
 #: SQL has no support vector machines, patience diff or BPE: tests hold the stages against brute force.
 ORACLE_SQL = None
@@ -28,17 +30,19 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.select("doc_id", "text", "lang"))
     if not model.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    known = langid.predict(docs, model).where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    lang, score = OWN
+    known = langid.predict(docs, model, OWN).where((F.col(lang) != langid.UNDETERMINED) & (F.col(score) >= LEAST_SCORE))
     return known.select(*docs.columns)
 
 
 @shipped
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier one has too; a document of which no word is left goes."""
-    left = lines.without_repeated_lines(docs)
-    left = left.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    removed = F.col(OWN[1])
+    left = lines.without_repeated_lines(docs, OWN)
+    left = left.where((removed == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        left = left.withColumn("n_chars", F.when(removed > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
     return left.select(*docs.columns)
 
 
