@@ -165,9 +165,10 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     return Model(languages, families, pairs)
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """docs with lang_pred and score; of its columns only text is read."""
-    schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+def predict(docs: DataFrame, model: Model, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """docs with the language and its score, columns of these names replaced; of its columns only text is read."""
+    docs = docs.drop(*names)
+    schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.StringType()), T.StructField(names[1], T.DoubleType())])
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,7 +181,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                     langs += [name if known else UNDETERMINED for name, known in zip(lang, lettered, strict=True)]
                     scores += np.where(lettered, score, 0.0).tolist()
             columns = [*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, *names])
 
     return docs.mapInArrow(predicted, schema)
 

@@ -109,17 +109,18 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     return gone
 
 
-def without_repeated_lines(docs: DataFrame) -> DataFrame:
-    """docs with the text that is left, and n_lines and n_removed."""
-    named = repeated_lines(docs)
-    joined = docs.join(named.withColumnRenamed("doc_id", "_doc_id").withColumnRenamed("gone", "_gone"), F.col("doc_id") == F.col("_doc_id"), "left")
-    split = F.split("text", "\n")
-    left = F.array_join(F.filter(split, lambda _, i: ~F.array_contains("_gone", i)), "\n")
-    n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(split)).cast("long")
-    n_removed = F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(F.size("_gone")).cast("long")
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)
-    joined = joined.withColumns({"n_lines": n_lines, "n_removed": n_removed, "text": text})
-    return joined.drop("_doc_id", "_gone")
+def without_repeated_lines(docs: DataFrame, counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
+    """docs with the text that is left, and the numbers of lines and of those deleted, named by counts; columns of these names are replaced."""
+    named = repeated_lines(docs).select(F.col("doc_id").alias("id"), "gone")
+    joined = docs.select(F.struct("*").alias("row")).join(named, F.col("row.doc_id") == F.col("id"), "left")
+    text = F.col("row.text")
+    split = F.split(text, "\n")
+    left = F.array_join(F.filter(split, lambda _, i: ~F.array_contains("gone", i)), "\n")
+    n_lines = F.when(text.isNull(), F.lit(0)).otherwise(F.size(split)).cast("long")
+    n_removed = F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long")
+    kept = F.when(F.col("gone").isNull(), text).otherwise(left).alias("text")
+    rest = [kept if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in counts]
+    return joined.select(*rest, n_lines.alias(counts[0]), n_removed.alias(counts[1]))
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -228,6 +228,8 @@ def write_files(ids: DataFrame, folder: str, table_: Frequencies) -> pd.DataFram
     ordered = ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids").withColumn("doc_id", F.col("doc_id").cast("string"))
     schema = "path string, offset long, length long, documents long, n_ids long, first long"
     blocks = ordered.mapInPandas(run, schema).toPandas()  # a few numbers for each block of half a million ids
+    if blocks.empty:
+        return pd.DataFrame(columns=["path", "offset", "length", "n_ids", "start"])
     blocks["first"] = blocks["first"].astype("Int64")
     order = blocks.groupby("path", sort=False)["first"].transform(lambda s: s.iloc[0] if s.isna().any() else s.min())
     blocks = blocks.assign(order=order).sort_values(["order", "path", "offset"], na_position="first", ignore_index=True)
@@ -249,6 +251,8 @@ def read_files(spark: SparkSession, folder: str, blocks: pd.DataFrame, table_: F
                 yield out.assign(ids_crc32=[crc32(p) for p in parts]) if digest else out.assign(ids=parts)
 
     schema = "doc_id long, start long, n_tokens long, " + ("ids_crc32 long" if digest else "ids binary")
+    if blocks.empty:
+        return spark.createDataFrame([], schema)
     listed = spark.createDataFrame(blocks, "path string, offset long, length long, n_ids long, start long")
     return listed.repartition(-(-len(blocks) // BLOCKS_A_TASK) or 1).mapInPandas(run, schema)
 
