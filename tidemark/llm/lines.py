@@ -112,7 +112,8 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 def without_repeated_lines(docs: DataFrame, counts: tuple[str, str] = ("n_lines", "n_removed")) -> DataFrame:
     """docs with the text that is left, and the numbers of lines and of those deleted, named by counts; columns of these names are replaced."""
     named = repeated_lines(docs).select(F.col("doc_id").alias("id"), "gone")
-    joined = docs.select(F.struct("*").alias("row")).join(named, F.col("row.doc_id") == F.col("id"), "left")
+    # the same plan at every size: what is deleted grows with the documents
+    joined = docs.select(F.struct("*").alias("row")).join(named.hint("merge"), F.col("row.doc_id") == F.col("id"), "left")
     text = F.col("row.text")
     split = F.split(text, "\n")
     left = F.array_join(F.filter(split, lambda _, i: ~F.array_contains("gone", i)), "\n")
