@@ -50,14 +50,14 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies, that of the least doc_id."""
     gone = neardup.near_duplicates(docs, SHINGLE, PERCENT).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 @shipped
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark item was found."""
     found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(found.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 @shipped
