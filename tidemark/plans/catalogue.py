@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import hashing, spectral
 from tidemark.functions.wav import with_header
 from tidemark.operators import anomaly, dedup, metrics
+from tidemark.session import work_folder
 from tidemark.sources import recordings
 from tidemark.sources.synthetic import wav_bytes
 
@@ -278,7 +279,7 @@ def kernel_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", metrics.bound_by(F.col("c"), F.col("m")).alias("bound"))
 
 
-@query("select * from (values (1, 1234.5, 7.0), (2, -1.0, -1.0), (3, 88.0, 88.0)) v(id, last, first)")
+@query("select id, cast(l as double) as last, cast(f as double) as first from (values (1, 1234.5, 7.0), (2, -1.0, -1.0), (3, 88.0, 88.0)) v(id, l, f)")
 def report_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = [(1, "  7 calls, Duration  usecond   1,234.5"), (2, "no number here"), (3, "sm__throughput.avg.pct  %  88")]
     rows = spark.createDataFrame(lines, "id int, line string")
@@ -321,14 +322,6 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "documents").schema
     rows = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(f"{sf_dir}/documents.parquet*")
     keys = distinct_stream(rows.select(hashing.sha256_hex(F.col("text")).alias("sha256")), "sha256")
-    at = f"{_work_folder(spark)}/stream-{uuid.uuid4().hex}"
+    at = f"{work_folder(spark)}/stream-{uuid.uuid4().hex}"
     keys.writeStream.trigger(availableNow=True).format("parquet").option("checkpointLocation", f"{at}/checkpoint").start(f"{at}/keys").awaitTermination()
     return spark.read.schema("sha256 string").parquet(f"{at}/keys")
-
-
-def _work_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only where it is unset, as in tests, a folder of our own."""
-    import tempfile
-
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    return at or tempfile.mkdtemp(prefix="tidemark-")

@@ -19,6 +19,7 @@ from tidemark.operators import dedup
 from tidemark.operators.metrics import batch_durations
 from tidemark.operators.store import KeyedStore
 from tidemark.schemas import MAGNITUDES, SPECTRA
+from tidemark.session import settled
 from tidemark.sources.recordings import scan_recordings
 
 REGISTRY = "sha256 string, first_seen timestamp, last_seen timestamp"
@@ -88,7 +89,7 @@ def run_hash(spark: SparkSession, config: EngineConfig, on_error: str = "fail")
     rows = digests(scan_recordings(spark, config.input_dir), on_error)
     store = registry(spark, config.store_path) if config.store_path else None
     new = dedup.first_seen(rows, "sha256", "path", store.read() if store else None, dedup=store is not None)
-    new = new.select("sha256", "path").persist()
+    new = settled(new.select("sha256", "path"))
     n = new.count()
     share = (time.perf_counter() - began) * 1000 / max(1, n)
     new.select("sha256", F.round(F.lit(share), 3).alias("duration_ms")).write.mode("overwrite").csv(f"{config.output_dir}/hash_results.csv", header=True)
@@ -102,7 +103,7 @@ def run_profile(spark: SparkSession, config: EngineConfig) -> DataFrame:
     """Timing of hashing alone, in batches of the configured size; appended to profile_results.csv."""
     files = scan_recordings(spark, config.input_dir)
     began = time.perf_counter()
-    rows = digests(files, "fail").persist()
+    rows = settled(digests(files, "fail"))
     n = rows.count()
     ms = (time.perf_counter() - began) * 1000
     placed = dedup.numbered(rows, "path").withColumn("batch", dedup.batch_of(F.col("place"), config.sha256_batch_size))
@@ -110,7 +111,6 @@ def run_profile(spark: SparkSession, config: EngineConfig) -> DataFrame:
     out = batch_durations(placed.withColumn("duration_ms", F.lit(ms / batches)))
     out = out.select(F.lit(config.sha256_threads_per_block).alias("threads_per_block"), F.lit(config.sha256_batch_size).alias("batch_size"), "*")
     out.write.mode("append").csv(f"{config.output_dir}/profile_results.csv", header=True)
-    rows.unpersist()
     return out
 
 
@@ -124,7 +124,8 @@ def run_fft(spark: SparkSession, config: EngineConfig, on_error: str = "fail") -
     # contents are joined again by path, after the filter and cut to one window: the shuffle never holds whole recordings
     window = valid(with_header(files), on_error).select("path", pcm(2 * config.fft_size).alias("window"))
     joined = new.select("path", "sha256").join(window, "path")
-    out = joined.select("path", "sha256", F.lit(config.fft_size).alias("fft_size"), floats_of(magnitude_bytes(F.col("window"), config.fft_size, config.pcm_scale)).alias("magnitudes")).persist()
+    magnitudes = floats_of(magnitude_bytes(F.col("window"), config.fft_size, config.pcm_scale)).alias("magnitudes")
+    out = settled(joined.select("path", "sha256", F.lit(config.fft_size).alias("fft_size"), magnitudes))
     n = out.count()
     ms = max((time.perf_counter() - began) * 1000 / max(1, n), 1e-3)
     times = out.select(F.round(F.lit(ms), 3).alias("duration_ms"), F.round(F.lit(1000 / ms), 1).alias("throughput_files_per_sec"))
@@ -138,8 +139,8 @@ def features_of_folder(spark: SparkSession, folder: str, fft_size: int = 65_536,
     """key, features of the recordings of one folder, by path: left channel, 16-bit samples over 32768."""
     files = valid(with_header(scan_recordings(spark, folder, depth=0)))
     window = F.substr(F.col("content"), (F.col("header.data_offset") + 1).cast("int"), F.least(F.col("header.data_size"), 2 * fft_size * F.col("header.num_channels")).cast("int"))
-    mags = files.select("path", magnitude_bytes(window, fft_size, 32_768.0, F.col("header.num_channels")).alias("mag_bytes"))
-    features = preprocess(floats_of(F.col("mag_bytes")), bin_max=int(max_hz * fft_size / sample_rate))
+    mags = files.select("path", floats_of(magnitude_bytes(window, fft_size, 32_768.0, F.col("header.num_channels"))).alias("mag"))
+    features = preprocess(F.col("mag"), bin_max=int(max_hz * fft_size / sample_rate))
     return mags.select(F.element_at(F.split("path", "/"), -1).alias("key"), features.alias("features")).orderBy("key")
 
 
@@ -150,7 +151,6 @@ def features_of_store(spark: SparkSession, store: KeyedStore, fft_size: int, sam
         rows = rows.where(~F.coalesce("consumed", F.lit(False)))
     out = rows.select(F.col(store.key).alias("key"), preprocess(F.col("magnitudes"), bin_max=int(max_hz * fft_size / sample_rate)).alias("features"))
     if consume:
-        out = out.persist()
-        out.count()
+        out = settled(out)
         store.mark_consumed(out.select(F.col("key").alias(store.key)))
     return out

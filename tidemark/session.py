@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable
 from functools import wraps
 from pathlib import Path
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,3 +39,19 @@ def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
         return query(spark, *args, **kwargs)
 
     return run
+
+
+def work_folder(spark: SparkSession) -> str:
+    """The folder that executors share, spark.checkpoint.dir; only where it is unset, as in tests, one of our own."""
+    at = spark.conf.get("spark.checkpoint.dir", None)
+    if not at:
+        at = tempfile.mkdtemp(prefix="tidemark-")
+        spark.conf.set("spark.checkpoint.dir", at)
+    return at
+
+
+def settled(rows: DataFrame) -> DataFrame:
+    """rows, computed once and kept in the shared folder. A cache would be lost with its executor, and would answer later plans that look alike."""
+    at = f"{work_folder(rows.sparkSession)}/settled-{uuid4().hex}"
+    rows.write.parquet(at)
+    return rows.sparkSession.read.schema(rows.schema).parquet(at)
