@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import prose
+from samples import prose
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate as dec

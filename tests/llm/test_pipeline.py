@@ -2,7 +2,7 @@ import hashlib
 
 import corpus_pipeline
 import pytest
-from conftest import edge_rows, prose
+from samples import edge_rows, prose
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
