@@ -7,8 +7,8 @@ batch gives the same minima as element by element, and a document stops as soon
 
 Signatures are cut into BANDS bands of ROWS places; classes that share a band are candidates. Within a shared band all are
 compared with one head, so pairs grow with the members. What did not link with its head's component is loose: it is compared
-with some further heads, and what is loose then with every member of the other components in its bands, block against
-block, so that no row stands for a single pair. No candidate pair of a band is left out. Every link is confirmed on the full
+with further heads, and what is loose then with every class of its cluster (classes whose bands hang together), block
+against block, so that no row stands for a single pair. No candidate pair of a band is left out. Every link is confirmed on the full
 sets. Links are grouped by contraction: nodes move to their least neighbour until no link is left.
 
 Recall of candidates: a pair of similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS, over 0.9999 at 0.8.
@@ -33,7 +33,7 @@ from tidemark.llm.common import GOLDEN, as_bytes, cut, drop_cut, hash_words, mix
 BANDS, ROWS = 32, 6
 PLACES = BANDS * ROWS
 #: Turns of further heads before blocks, and elements in a block of sets.
-HEAD_TURNS, BLOCK = 3, 100_000
+HEAD_TURNS, BLOCK = 1, 100_000
 UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
 LOW = np.uint64(0xFFFFFFFF)
 HALF = np.uint64(32)
@@ -147,18 +147,23 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def components(links: DataFrame, label: str) -> DataFrame:
     """node, component (its least node) for the nodes of the links (a, b)."""
-    edges = cut(links.select("a", "b"), f"{label}-edges")
-    labels = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct().withColumn("component", F.col("node"))
+    edges, labels = cut(links.select("a", "b"), f"{label}-edges"), None
     while True:
         both = edges.select("a", "b").union(edges.select("b", "a"))
         step = cut(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("to")), f"{label}-step")
-        moved = labels.join(step, labels["component"] == step["a"], "left")
-        labels = cut(moved.select("node", F.coalesce("to", "component").alias("component")), f"{label}-labels")
+        if labels is None:
+            labels = cut(step.select(F.col("a").alias("node"), F.col("to").alias("component")), f"{label}-labels")
+        else:
+            old = labels
+            moved = old.join(step, old["component"] == step["a"], "left")
+            labels = cut(moved.select("node", F.coalesce("to", "component").alias("component")), f"{label}-labels")
+            drop_cut(old)
         left, right = step.select("a", F.col("to").alias("x")), step.select(F.col("a").alias("b"), F.col("to").alias("y"))
         rest = edges.join(left, "a").join(right, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         rest = cut(rest, f"{label}-edges")
         drop_cut(edges)
         drop_cut(step)
+        release(links.sparkSession)
         edges = rest
         if edges.isEmpty():
             return labels
@@ -169,37 +174,53 @@ def _with_component(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(named, "class", "left").withColumn("component", F.coalesce("component", "class"))
 
 
-def _blocks(rows: DataFrame, sets: DataFrame, key: str, out: str) -> DataFrame:
-    """Of rows (key, class): the sets of each key in blocks of about BLOCK elements, as key, out (array of class and set)."""
+def _blocks(rows: DataFrame, sets: DataFrame, out: str) -> DataFrame:
+    """Of rows (cluster, class, component): the sets of each cluster in blocks of about BLOCK elements, as cluster, out (array of class, component, set)."""
     sized = rows.join(sets.select("class", F.size("set").alias("n")), "class")
-    blocks = sized.groupBy(key).agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
-    dealt = sized.join(blocks, key).select(key, "class", F.pmod(F.xxhash64("class"), "blocks").alias("block"))
-    return dealt.join(sets, "class").groupBy(key, "block").agg(F.collect_list(F.struct("class", "set")).alias(out)).drop("block")
+    blocks = sized.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
+    dealt = sized.join(blocks, "cluster").select("cluster", "class", "component", F.pmod(F.xxhash64("class"), "blocks").alias("block"))
+    one = F.struct("class", "component", "set")
+    return dealt.join(sets, "class").groupBy("cluster", "block").agg(F.collect_list(one).alias(out)).drop("block")
 
 
 def block_links(loose: DataFrame, named: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """A link (a, b) of each loose class with each block of another component where it has one. loose, named: band, class, component."""
-    beside = named.select("band", F.col("component").alias("other")).distinct()
-    asked = loose.select("band", "class", "component").join(beside, "band").where("component <> other").select("class", "other").distinct()
-    asked = cut(asked, "neardup-asked")
-    left = _blocks(asked, sets, "other", "left")
-    whole = named.select("class", F.col("component").alias("other")).distinct().join(asked.select("other").distinct(), "other", "left_semi")
-    right = _blocks(whole, sets, "other", "right")
+    """A link (a, b) of each loose class with each block that holds a class of another component it links with. loose, named: band, class, component.
+
+    Classes whose bands hang together make a cluster. Within it, blocks of loose classes meet blocks of all classes: rows
+    grow with the blocks, not with the pairs.
+    """
+    own = named.join(loose.select("band").distinct(), "band")
+    edges = own.where(F.col("class") != F.col("head")).select(F.col("head").alias("a"), F.col("class").alias("b")).distinct()
+    clusters = components(edges, "neardup-clusters").select(F.col("node").alias("class"), F.col("component").alias("cluster"))
+    clusters = cut(own.select("class", "component").distinct().join(clusters, "class"), "neardup-clusters")
+    left = _blocks(clusters.join(loose.select("class").distinct(), "class", "left_semi"), sets, "left")
+    right = _blocks(clusters, sets, "right")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = []
             for left, right in zip(batch["left"], batch["right"], strict=True):
-                flat, sizes = np.concatenate([y["set"] for y in right]), np.array([len(y["set"]) for y in right])
-                first = np.cumsum(sizes) - sizes
+                sizes = np.array([len(y["set"]) for y in right])
+                other = np.array([y["component"] for y in right], object)
+                # an index from elements to the classes of the block that have them
+                flat = np.concatenate([y["set"] for y in right])
+                order = np.argsort(flat, kind="stable")
+                element, first = np.unique(flat[order], return_index=True)
+                owner, last = np.repeat(np.arange(len(right)), sizes)[order], np.append(first[1:], len(flat))
                 for x in left:
-                    both = np.add.reduceat(np.isin(flat, x["set"], assume_unique=False), first, dtype=np.int64)
-                    linked = np.flatnonzero(100 * both >= percent * (sizes + len(x["set"]) - both))
-                    if len(linked):
-                        found.append((x["class"], right[linked[0]]["class"]))
+                    at = np.searchsorted(element, x["set"])
+                    at = at[at < len(element)]
+                    at = at[np.isin(element[at], x["set"])]
+                    count = last[at] - first[at]
+                    ends = np.cumsum(count)
+                    posts = np.repeat(first[at] - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)
+                    both = np.bincount(owner[posts], minlength=len(right))
+                    linked = (100 * both >= percent * (sizes + len(x["set"]) - both)) & (other != x["component"])
+                    if linked.any():
+                        found.append((x["class"], right[int(np.argmax(linked))]["class"]))
             yield pd.DataFrame(found, columns=["a", "b"])
 
-    pairs = left.join(right, "other").select("left", "right").mapInPandas(compare, "a binary, b binary")
+    pairs = left.join(right, "cluster").select("left", "right").mapInPandas(compare, "a binary, b binary")
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
@@ -207,12 +228,14 @@ def class_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed links that connect what the candidate pairs of every band connect. members: band, class, head (least class of the band)."""
     star = members.where(F.col("class") != F.col("head")).select(F.col("head").alias("a"), F.col("class").alias("b")).distinct()
     links = cut(verified(star, sets, percent).where("linked").select("a", "b"), "neardup-links")
+    loose = None
     for turn in range(HEAD_TURNS + 1):
-        named = cut(_with_component(members, components(links, "neardup")), "neardup-named")
-        heads = named.where(F.col("class") == F.col("head")).select("band", F.col("component").alias("head_component"))
-        loose = cut(named.join(heads, "band").where(F.col("component") != F.col("head_component")), "neardup-loose")
-        if loose.isEmpty():
-            return links
+        if loose is None:
+            named = cut(_with_component(members, components(links, "neardup")), "neardup-named")
+            heads = named.where(F.col("class") == F.col("head")).select("band", F.col("component").alias("head_component"))
+            loose = cut(named.join(heads, "band").where(F.col("component") != F.col("head_component")), "neardup-loose")
+            if loose.isEmpty():
+                return links
         if turn < HEAD_TURNS:
             # what is loose is compared with other heads first, as many as it has bands: most links are found so
             order = F.xxhash64("class", F.lit(turn))
@@ -224,7 +247,9 @@ def class_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         else:
             # the rest with all members of the components beside it, in blocks
             more = block_links(loose, named, sets, percent)
-        links = cut(links.unionByName(more).distinct(), "neardup-links")
+        more = cut(more, "neardup-more")
+        if not more.isEmpty():
+            links, loose = cut(links.unionByName(more).distinct(), "neardup-links"), None
     return links
 
 
