@@ -52,6 +52,23 @@ class Recent:
     def __init__(self, limit: int = 300_000):
         self.limit, self.new, self.old = limit, {}, {}
 
+    def get_distinct(self, keys: list, make: Callable[[list], list]) -> list:
+        """As get_many, for keys that are distinct; make gets the unknown ones in their order."""
+        new = self.new
+        found = list(map(new.get, keys))
+        at = [i for i, v in enumerate(found) if v is None]
+        if at:
+            for i, value in zip(at, map(self.old.get, [keys[i] for i in at])):
+                found[i] = value
+            unknown = [i for i in at if found[i] is None]
+            if unknown:
+                for i, value in zip(unknown, make([keys[i] for i in unknown]), strict=True):
+                    found[i] = value
+            new.update([(keys[i], found[i]) for i in at])
+        if len(new) > self.limit:
+            self.new, self.old = {}, new
+        return found
+
     def get_many(self, keys: list, make: Callable[[list], list]) -> list:
         """Values of the keys; make gets the distinct unknown ones and gives their values."""
         new, old = self.new, self.old
@@ -181,7 +198,7 @@ class LibraryBPE:
     of letters are sent to it many at a time, as one text, and told apart by the marked tokens. Ids fit in 16 bits.
     """
 
-    PUNCTUATION = frozenset(".,;:!?")
+    MARKS = ".,;:!?#*$%&|"
     TOGETHER = 2000
 
     def __init__(self, path: str):
@@ -196,7 +213,7 @@ class LibraryBPE:
             raise ValueError("ids must fit in 16 bits")
         self.last = np.zeros(1 << 16, bool)
         self.last[[i for token, i in vocabulary_.items() if token.endswith("</w>")]] = True
-        self.chunks, self.words = Recent(400_000), Recent(300_000)
+        self.chunks, self.words, self.marks = Recent(400_000), Recent(300_000), {}
 
     def _apart(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
@@ -216,20 +233,24 @@ class LibraryBPE:
         return out
 
     def _chunks(self, chunks: list[bytes]) -> list[bytes]:
-        # letters and the one mark behind them are separate pretokens: fewer words for the library
+        # letters and the marks behind them are separate pretokens: fewer words for the library
         words, places, others, marks = [], [], [], []
         out: list[bytes] = [b""] * len(chunks)
         for i, raw in enumerate(chunks):
             chunk = raw.decode("utf-8", "surrogatepass")
-            mark = chunk[-1] if chunk[-1] in self.PUNCTUATION else ""
-            core = chunk[:-1] if mark else chunk
+            core = chunk.rstrip(self.MARKS)
             if core.isalpha():
                 words.append(core)
                 places.append(i)
-                marks.append(mark)
+                marks.append(chunk[len(core) :])
             else:
                 others.append(i)
-        of_mark = dict(zip(sorted(self.PUNCTUATION), self._apart(sorted(self.PUNCTUATION)), strict=True)) | {"": b""}
+        of_mark = self.marks
+        if fresh := [m for m in dict.fromkeys(marks) if m not in of_mark]:
+            if len(of_mark) > 10_000:
+                of_mark.clear()
+                fresh = list(dict.fromkeys(marks))
+            of_mark.update(zip(fresh, self._apart(fresh), strict=True))
         for i, ids, mark in zip(places, self.words.get_many(words, self._words), marks, strict=True):
             out[i] = ids + of_mark[mark]
         for i, ids in zip(others, self._apart([chunks[i].decode("utf-8", "surrogatepass") for i in others]), strict=True):
@@ -241,8 +262,12 @@ class LibraryBPE:
         # the vocabulary drops case; A-Z are lowered here, but where a combining mark (lead bytes CC and CD) could compose with them
         hashes, bounds, joined, start, end = placed_words([t if b"\xcc" in t or b"\xcd" in t else t.lower() for t in texts])
         distinct, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
-        at = dict(zip(distinct.tolist(), zip(start[sample].tolist(), end[sample].tolist())))
-        known = self.chunks.get_many(list(at), lambda new: self._chunks([joined[slice(*at[k])] for k in new]))
+
+        def make(new: list[int]) -> list[bytes]:
+            k = sample[np.searchsorted(distinct, np.array(new, np.uint64))]
+            return self._chunks([joined[a:b] for a, b in zip(start[k].tolist(), end[k].tolist())])
+
+        known = self.chunks.get_distinct(distinct.tolist(), make)
         sizes = np.fromiter(map(len, known), np.int64, len(known)) // 2
         ids, first = np.frombuffer(b"".join(known), "<u2"), np.cumsum(sizes) - sizes
         count = sizes[which]

@@ -169,10 +169,7 @@ def frequencies(ids: DataFrame, size: int) -> Frequencies:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counts = np.zeros(size, np.int64)
         for batch in batches:
-            for packed in batch["ids"]:
-                counts += np.bincount(np.frombuffer(packed, "<u2"), minlength=size) if len(packed) > size else 0
-                if len(packed) <= size:
-                    np.add.at(counts, np.frombuffer(packed, "<u2"), 1)
+            counts += np.bincount(np.frombuffer(b"".join(batch["ids"]), "<u2"), minlength=size)
         seen = np.flatnonzero(counts)
         yield pd.DataFrame({"id": seen, "n": counts[seen]})
 
