@@ -51,3 +51,18 @@ def test_edges(spark, edges, nothing, monkeypatch, bound):
     assert rows >= {(5, 1), (6, 1), (7, 1), (12, 6)} and not rows & {(4, 1), (11, 6), (10, 1)}
     assert dec.contaminated(nothing, benchmark).count() == 0
     assert dec.contaminated(edges, benchmark.limit(0)).count() == 0
+
+
+def test_each_alignment_is_judged_alone(spark):
+    other = ITEM.replace("12.5", "88").replace("3 km", "9 miles").replace("Tom", "Bob").replace("Smith", "Jones")
+    third = ITEM.replace("12.5", "41").replace("Tom", "Jim")
+    cut_in = f"{ITEM[:60]} and some apples more {ITEM[60:]}"
+    mixed = other.replace("paid 88", "paid 87")
+    chance = "the market for 99 euros after he walked 5 miles"
+    texts = {
+        1: f"{ITEM} {prose(1, 30)} {other}", 2: f"{other} {prose(2, 30)} {third}", 3: f"{prose(3, 300)} {ITEM} {prose(4, 300)} on {chance} {prose(5, 40)}",
+        4: f"{ITEM} {other}", 5: f"{mixed} {prose(6, 30)} {mixed}", 6: f"{cut_in} {prose(7, 40)} {cut_in.replace('12.5', '7')}",
+    }
+    got = found(spark, texts, {7: ITEM})
+    assert set(got) == {(d, 7) for d in (1, 2, 3, 4, 6)}
+    assert all(r["n_slot_conflicts"] == 0 and 2 * r["n_matched"] >= r["n_windows"] for r in got.values())

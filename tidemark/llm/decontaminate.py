@@ -2,9 +2,14 @@
 
 Texts and benchmark items become templates: names (words inside a sentence of which the first letter is a capital and the second is not), numbers and units of measure behind
 numbers are replaced by typed placeholders, letters are lower-cased, all else separates tokens. Windows of WINDOW template
-tokens are hashed and joined by hash. An item is found in a document if at least SHARE of its windows are. At the places that
-match, each value of a placeholder in the item must stand for one value in the document (slot consistency); so a question
-with other numbers or names is caught, and a chance likeness of templates with slots at random is not.
+tokens are hashed and joined by hash. An item is found in a document if at least SHARE of its windows are, in one alignment. At
+the places that match, each value of a placeholder in the item must stand for one value in the document (slot consistency); so
+a question with other numbers or names is caught, and a chance likeness of templates with slots at random is not.
+
+Alignments are the shifts from places of the item to places of the document: each shift for itself, shifts that lie together by
+ever wider gaps (powers of GAP, for copies with insertions), and all of them. Each is judged alone and one that passes is enough,
+so other variants, copies and chance matches elsewhere in the document do not hide an item. The columns are those of the passing
+alignment with most windows.
 
 Items shorter than WINDOW tokens have one window of their own length; windows of the item with fewer than half of their
 tokens literal are not used, and an item without any window is not looked for. The item windows are broadcast only if they
@@ -16,7 +21,9 @@ An empty table gives no rows. Other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut, table
@@ -24,6 +31,7 @@ from tidemark.llm.common import cut, table
 WINDOW = 8
 SHARE = 0.5
 BROADCAST_WINDOWS = 500_000
+GAP = 4
 NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
 NAME_PATTERN = r"(?<=[\p{Ll},;]\x20)\p{Lu}\p{Ll}[\p{L}\p{M}'’-]*+"
 NUMBER_PATTERN = r"\p{Nd}++(?:[.,:/]\p{Nd}++)*+"
@@ -66,6 +74,22 @@ def slots(rows: DataFrame, key: str) -> DataFrame:
     return one.select(key, "slot.place", "slot.kind", F.col("values")[F.col("slot.kind")][F.col("slot.rank")].alias("value"))
 
 
+def alignments(places: DataFrame) -> DataFrame:
+    """doc_id, item_id, shift, first, last: the shifts of each pair's alignments, which are named by their first and last shift."""
+    shifts = places.select("doc_id", "item_id", "shift").distinct()
+    pair = Window.partitionBy("doc_id", "item_id")
+    ordered = pair.orderBy("shift")
+    shifts = shifts.withColumns({"gap": F.col("shift") - F.lag("shift").over(ordered), "widest": F.max("shift").over(pair) - F.min("shift").over(pair)})
+    # the powers of GAP below the pair's widest gap, then no bound
+    steps = F.ceil(F.log(F.greatest("widest", F.lit(1)).cast("double")) / math.log(GAP)).cast("int")
+    bounds = F.concat(F.array(F.lit(0.0)), F.transform(F.sequence(F.lit(1), steps + 1), lambda k: F.pow(F.lit(float(GAP)), k)))
+    leveled = shifts.withColumn("bound", F.explode(bounds))
+    run = F.sum((F.coalesce("gap", F.lit(0)) > F.col("bound")).cast("long")).over(Window.partitionBy("doc_id", "item_id", "bound").orderBy("shift"))
+    whole = Window.partitionBy("doc_id", "item_id", "bound", "run")
+    named = leveled.withColumn("run", run).select("doc_id", "item_id", "shift", F.min("shift").over(whole).alias("first"), F.max("shift").over(whole).alias("last"))
+    return named.distinct()
+
+
 def contaminated(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
     """doc_id, item_id, n_windows (of the item), n_matched (those of them found), n_slots (compared), n_slot_conflicts; pairs that are findings only."""
     items = items.where("item_id is not null and text is not null").select("item_id", "text").dropDuplicates(["item_id"])
@@ -97,20 +121,27 @@ def contaminated(docs: DataFrame, items: DataFrame, share: float = SHARE) -> Dat
     pairs = cut(matched.join(total, "item_id").where(F.col("n_matched") >= share * F.col("n_windows")), "op5-pairs")
 
     # slots at the places that match; texts are read again for documents with findings only
-    places = found.join(pairs.select("doc_id", "item_id"), ["doc_id", "item_id"], "left_semi")
-    places = places.select("doc_id", "item_id", "item_place", (F.col("place") - F.col("item_place")).alias("shift"), "size")
+    pair, one = ["doc_id", "item_id"], ["doc_id", "item_id", "first", "last"]
+    places = found.join(pairs.select(*pair), pair, "left_semi")
+    places = cut(places.select(*pair, "item_place", (F.col("place") - F.col("item_place")).alias("shift"), "size"), "op5-places")
+    aligned = cut(alignments(places), "op5-alignments")
+    judged = places.join(aligned, [*pair, "shift"]).groupBy(*one).agg(F.count_distinct("item_place").alias("n_matched"))
+    judged = judged.join(total, "item_id").where(F.col("n_matched") >= share * F.col("n_windows"))
     item_slots = slots(items.join(pairs.select("item_id").distinct(), "item_id", "left_semi"), "item_id")
     # slots in a window that matches, or about as near to one; where the document has no such slot there, nothing is compared
     inside = F.col("item_slot").between(F.col("item_place") - WINDOW, F.col("item_place") + F.col("size") + WINDOW)
     item_slots = item_slots.select("item_id", F.col("place").alias("item_slot"), "kind", F.col("value").alias("item_value"))
     asked = places.join(item_slots, "item_id").where(inside)
-    asked = asked.select("doc_id", "item_id", "kind", "item_value", (F.col("item_slot") + F.col("shift")).alias("place")).distinct()
+    asked = asked.select(*pair, "shift", "kind", "item_value", (F.col("item_slot") + F.col("shift")).alias("place")).distinct()
+    # written, as the filters of what follows would else be evaluated for all texts, before the join
     texts = docs.select("doc_id", "text").where("text is not null").join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
-    bound = asked.join(slots(texts, "doc_id"), ["doc_id", "place", "kind"])
-    bound = bound.groupBy("doc_id", "item_id", "kind", "item_value").agg(F.count("*").alias("n"), F.count_distinct("value").alias("values"))
-    slot_counts = bound.groupBy("doc_id", "item_id").agg(F.sum("n").alias("n_slots"), F.sum((F.col("values") > 1).cast("long")).alias("n_slot_conflicts"))
-    joined = pairs.join(slot_counts, ["doc_id", "item_id"], "left").fillna(0, ["n_slots", "n_slot_conflicts"])
-    return joined.where("n_slot_conflicts = 0").select(*(c.split()[0] for c in schema.split(", ")))
+    bound = asked.join(slots(cut(texts, "op5-texts"), "doc_id"), ["doc_id", "place", "kind"])
+    bound = bound.join(aligned, [*pair, "shift"]).select(*one, "kind", "item_value", "place", "value").distinct()
+    bound = bound.groupBy(*one, "kind", "item_value").agg(F.count("*").alias("n"), F.count_distinct("value").alias("values"))
+    slot_counts = bound.groupBy(*one).agg(F.sum("n").alias("n_slots"), F.sum((F.col("values") > 1).cast("long")).alias("n_slot_conflicts"))
+    joined = judged.join(slot_counts, one, "left").fillna(0, ["n_slots", "n_slot_conflicts"]).where("n_slot_conflicts = 0")
+    best = F.max(F.struct("n_matched", "n_slots", "n_slot_conflicts", "n_windows")).alias("best")
+    return joined.groupBy(*pair).agg(best).select(*pair, *(f"best.{c.split()[0]}" for c in schema.split(", ")[2:]))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
