@@ -65,6 +65,16 @@ def test_loose_members_are_compared_in_blocks(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == brute(rows, 2)
 
 
+def test_a_bridge_in_one_block_links_all_its_components(spark):
+    # x links with y1 and y2, which agree with their heads; x does not link with the heads
+    sets = {b"x": range(100), b"y1": range(12, 100), b"h1": range(24, 100), b"y2": range(88), b"h2": range(76)}
+    named = [(1, b"h1", b"h1", b"h1"), (1, b"y1", b"h1", b"h1"), (1, b"x", b"x", b"h1"), (2, b"h2", b"h2", b"h2"), (2, b"y2", b"h2", b"h2"), (2, b"x", b"x", b"h2")]
+    named = spark.createDataFrame(named, "band long, class binary, component binary, head binary")
+    sets = spark.createDataFrame([(k, list(v)) for k, v in sets.items()], "class binary, set array<long>")
+    links = neardup.block_links(named.where("class = x'78'"), named, sets, 80).collect()
+    assert {(bytes(r["a"]), bytes(r["b"])) for r in links} == {(b"x", b"y1"), (b"x", b"y2")}
+
+
 def test_edges(spark, edges, nothing):
     rows = neardup.near_duplicates(edges, 2).collect()
     assert len(rows) == edges.count()

@@ -184,7 +184,7 @@ def _blocks(rows: DataFrame, sets: DataFrame, out: str) -> DataFrame:
 
 
 def block_links(loose: DataFrame, named: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """A link (a, b) of each loose class with each block that holds a class of another component it links with. loose, named: band, class, component.
+    """A link (a, b) of each loose class with each other component it links with, for each block. loose, named: band, class, component.
 
     Classes whose bands hang together make a cluster. Within it, blocks of loose classes meet blocks of all classes: rows
     grow with the blocks, not with the pairs.
@@ -202,6 +202,7 @@ def block_links(loose: DataFrame, named: DataFrame, sets: DataFrame, percent: in
             for left, right in zip(batch["left"], batch["right"], strict=True):
                 sizes = np.array([len(y["set"]) for y in right])
                 other = np.array([y["component"] for y in right], object)
+                number = np.unique(other, return_inverse=True)[1]
                 # an index from elements to the classes of the block that have them
                 flat = np.concatenate([y["set"] for y in right])
                 order = np.argsort(flat, kind="stable")
@@ -216,8 +217,9 @@ def block_links(loose: DataFrame, named: DataFrame, sets: DataFrame, percent: in
                     posts = np.repeat(first[at] - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)
                     both = np.bincount(owner[posts], minlength=len(right))
                     linked = (100 * both >= percent * (sizes + len(x["set"]) - both)) & (other != x["component"])
-                    if linked.any():
-                        found.append((x["class"], right[int(np.argmax(linked))]["class"]))
+                    linked = np.flatnonzero(linked)
+                    # one class of each component that it links with
+                    found += [(x["class"], right[k]["class"]) for k in linked[np.unique(number[linked], return_index=True)[1]].tolist()]
             yield pd.DataFrame(found, columns=["a", "b"])
 
     pairs = left.join(right, "cluster").select("left", "right").mapInPandas(compare, "a binary, b binary")
