@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -47,5 +48,19 @@ def test_a_text_outside_its_group_is_rejected(spark):
     assert not kept[999] and all(kept[i] for i in range(300))
 
 
+def test_every_document_meets_a_band(spark):
+    def row(i, lang, script, n_tokens, chars=4.0, entropy=None):
+        return i, 100, 0, n_tokens, chars, 0.0, entropy or 0.8 * math.log2(n_tokens), lang, script
+
+    rows = [row(i, "en", "latin", 100) for i in range(300)] + [row(300 + i, "de", "latin", 300) for i in range(20)]
+    rows += [row(900, "en", "latin", 9000), row(901, "en", "latin", 9000, chars=40.0), row(902, "en", "latin", 9000, entropy=1.0)]
+    rows += [row(903, "de", "latin", 300, chars=40.0), row(904, "xx", "greek", 50, chars=40.0), row(905, "xx", "greek", 50)]
+    schema = "doc_id long, n_words long, n_repeat_words long, n_tokens long, chars_per_token double, byte_share double, entropy double, lang string, script string"
+    got = {r["doc_id"]: r["reject_reason"] for r in quality.verdicts(spark.createDataFrame(rows, schema)).collect()}
+    assert {d: r for d, r in got.items() if r} == {901: "chars_per_token", 902: "entropy", 903: "chars_per_token", 904: "chars_per_token"}
+    few = spark.createDataFrame(rows[:30] + rows[-6:], schema)
+    assert {r["doc_id"] for r in quality.verdicts(few).collect() if r["reject_reason"]} == {901, 902, 903, 904}
+
+
 def test_no_rows(spark, nothing):
     assert quality.verdicts(quality.measure(nothing, vocabulary("byte_bpe_50k.tiktoken"), vocabulary("piece_bpe_32k.model"))).count() == 0

@@ -4,8 +4,9 @@ Base rules count words, symbols, repeated lines and repeated 5-word windows. The
 take the text: characters of words for each token of a byte-level BPE vocabulary, the share of byte-fallback pieces of a
 second vocabulary, and the entropy of the text's tokens in bits. Every document is measured; over all of them each group
 (language, else script, and power of two of the number of tokens, as entropy grows with length) gets its band: ``FENCE``
-interquartile ranges, at least ``SLACK``, outside the quartiles. A document outside a band of its group is rejected; groups
-of fewer than ``SUPPORT`` documents have no band.
+interquartile ranges, at least ``SLACK``, outside the quartiles. A document outside a band of its group is rejected. Where a
+group has fewer than ``SUPPORT`` documents, the band is that of the language (else script) at all lengths, then of the script,
+then of all documents, whatever their number; entropy's quartiles are taken there for each bit of the number of tokens.
 
 Nulls: a null text has no words, fails the base rules and has null measures, as have texts without words; a null lang is
 replaced by the script of most letters. Repeated rows count each. An empty table gives no rows. Other columns are ignored.
@@ -29,6 +30,8 @@ WINDOW = 5
 FENCE, SUPPORT = 4.0, 200
 #: The least distance of a band's ends from the quartiles, for each measure.
 SLACK = {"chars_per_token": 0.75, "byte_share": 0.05, "entropy": 0.75}
+#: What bands are taken by, the finest first.
+LEVELS = (("band_of", "band_size"), ("band_of",), ("band_script",), ())
 SYMBOLS = b"#*$%&|<>"
 WHITE = b" \t\n\x0b\x0c\r"
 
@@ -111,10 +114,12 @@ def script_of(text: bytes) -> str | None:
     """Script of most letters."""
     if text.isascii():
         return "latin" if any(65 <= b <= 90 or 97 <= b <= 122 for b in text) else None
-    codes = np.array([ord(c) for c in text.decode("utf-8", "replace") if c.isalpha()], np.int64)
+    codes, count = np.unique(np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le"), "<u4"), return_counts=True)
+    letter = np.array([chr(c).isalpha() for c in codes.tolist()], bool)
+    codes, count = codes[letter], count[letter]
     if not len(codes):
         return None
-    kinds = np.bincount(np.searchsorted([b for b, _ in BLOCKS], codes, "right") - 1, minlength=len(BLOCKS))
+    kinds = np.bincount(np.searchsorted([b for b, _ in BLOCKS], codes, "right") - 1, count, len(BLOCKS)).astype(np.int64)
     total: dict[str, int] = {}
     for (_, name), n in zip(BLOCKS, kinds.tolist(), strict=True):
         total[name] = total.get(name, 0) + n
@@ -134,7 +139,7 @@ def measure(docs: DataFrame, ranks: str, pieces: str) -> DataFrame:
                     words = text.split()
                     chars, symbols, lines, repeated, _ = base_counts(text, words)
                     n, share, entropy = known.of(words) if words else (0, None, None)
-                    rows.append((len(words), chars, symbols, lines, repeated, n, chars / n if n else None, share, entropy, None if lang else script_of(text)))
+                    rows.append((len(words), chars, symbols, lines, repeated, n, chars / n if n else None, share, entropy, script_of(text)))
                 out = pd.DataFrame(rows, columns=[c.split()[0] for c in COLUMNS.split(", ")])
                 out.insert(0, "lang", batch["lang"].iloc[first:last].to_numpy())
                 out.insert(0, "doc_id", batch["doc_id"].iloc[first:last].to_numpy())
@@ -148,14 +153,27 @@ def verdicts(measured: DataFrame) -> DataFrame:
     """measured with base_failed, kept, and reject_reason (the first band it is outside of)."""
     group = F.coalesce("lang", "script", F.lit("none")).alias("band_of")
     size = F.floor(F.log2("n_tokens")).alias("band_size")
-    measured = measured.withColumns({"band_of": group, "band_size": size})
-    quartiles = [F.percentile_approx(m, F.array(F.lit(0.25), F.lit(0.75)), 2000).alias(f"{m}_q") for m in SLACK]
-    bands = measured.where("n_tokens > 0").groupBy("band_of", "band_size").agg(F.count("*").alias("support"), *quartiles).where(F.col("support") >= SUPPORT)
-    reach = {m: F.greatest((F.col(f"{m}_q")[1] - F.col(f"{m}_q")[0]) * FENCE, F.lit(slack)) for m, slack in SLACK.items()}
-    ends = [c for m in SLACK for c in ((F.col(f"{m}_q")[0] - reach[m]).alias(f"{m}_low"), (F.col(f"{m}_q")[1] + reach[m]).alias(f"{m}_high"))]
-    bands = cut(bands.select("band_of", "band_size", *ends), "op4-bands")  # of known size: Spark broadcasts it only if small
-    joined = measured.join(bands, ["band_of", "band_size"], "left")
-    reason = F.coalesce(*(F.when((F.col(m) < F.col(f"{m}_low")) | (F.col(m) > F.col(f"{m}_high")), F.lit(m)) for m in SLACK))
+    bits = F.greatest(F.log2("n_tokens"), F.lit(1.0))
+    measured = measured.withColumns({"band_of": group, "band_size": size, "band_script": F.coalesce("script", F.lit("none")), "bits": bits})
+    joined, found = measured, []
+    for k, keys in enumerate(LEVELS):
+        per = F.col("bits") if k else F.lit(1.0)  # only the first level holds texts of about one length
+        quartiles = [F.percentile_approx(F.col(m) / per if m == "entropy" else F.col(m), F.array(F.lit(0.25), F.lit(0.75)), 2000).alias(f"{m}_q") for m in SLACK]
+        bands = measured.where("n_tokens > 0").groupBy(*keys).agg(F.count("*").alias("support"), *quartiles)
+        if keys:
+            bands = bands.where(F.col("support") >= SUPPORT)
+        bands = cut(bands.select(*keys, F.struct(*(f"{m}_q" for m in SLACK)).alias(f"band_{k}")), "op4-bands")  # of known size: Spark broadcasts it only if small
+        joined = joined.join(bands, list(keys), "left") if keys else joined.crossJoin(bands)
+        held = {m: F.col(f"band_{k}")[f"{m}_q"] for m in SLACK}
+        held["entropy"] = F.array(held["entropy"][0] * per, held["entropy"][1] * per)
+        found.append(F.when(F.col(f"band_{k}").isNotNull(), F.struct(*(q.alias(m) for m, q in held.items()))))
+    joined = joined.withColumn("quartiles", F.coalesce(*found))
+    ends = {}
+    for m, slack in SLACK.items():
+        low, high = F.col("quartiles")[m][0], F.col("quartiles")[m][1]
+        reach = F.greatest((high - low) * FENCE, F.lit(slack))
+        ends[m] = (low - reach, high + reach)
+    reason = F.coalesce(*(F.when((F.col(m) < ends[m][0]) | (F.col(m) > ends[m][1]), F.lit(m)) for m in SLACK))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     judged = joined.withColumns({"base_failed": failed, "reject_reason": F.when(~failed, reason)})
     return judged.withColumn("kept", ~F.col("base_failed") & F.col("reject_reason").isNull())
