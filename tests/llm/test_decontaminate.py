@@ -66,3 +66,10 @@ def test_each_alignment_is_judged_alone(spark):
     got = found(spark, texts, {7: ITEM})
     assert set(got) == {(d, 7) for d in (1, 2, 3, 4, 6)}
     assert all(r["n_slot_conflicts"] == 0 and 2 * r["n_matched"] >= r["n_windows"] for r in got.values())
+
+
+def test_items_of_numbers_are_looked_for(spark):
+    items = {1: "What is 3 + 4 * 5 - 6 / 7?", 2: "1, 2, 3, 5, 8, 13, 21, 34, 55, 89", 3: "12 13"}
+    texts = {1: f"{prose(1, 30)} WHAT is 3 + 4 * 5 - 6 / 7? {prose(2, 30)}", 2: f"so {items[2]}", 3: "What is 3 - 4 * 5 + 6 / 7?", 4: "it is 12 13 or 13 12"}
+    assert set(found(spark, texts, items)) == {(1, 1), (2, 2), (4, 3)}
+    assert set(found(spark, texts, items | {4: prose(1, 30)})) == {(1, 1), (2, 2), (4, 3), (1, 4)}

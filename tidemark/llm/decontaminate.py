@@ -12,7 +12,9 @@ so other variants, copies and chance matches elsewhere in the document do not hi
 alignment with most windows.
 
 Items shorter than WINDOW tokens have one window of their own length; windows of the item with fewer than half of their
-tokens literal are not used, and an item without any window is not looked for. The item windows are broadcast only if they
+tokens literal are not used. An item without any window of more (arithmetic, sequences, tables) is looked for by windows of its
+plain tokens, which are words, numbers and operators as they stand but for the case of letters; at least SHARE of them must be
+found, and there are no slots. Only an item without a letter, number or operator is not looked for. The item windows are broadcast only if they
 are at most BROADCAST_WINDOWS, counted first; else both sides are shuffled by hash.
 
 Nulls: null texts match nothing; rows without doc_id or item_id are skipped. Repeated rows give the same findings once.
@@ -22,6 +24,7 @@ An empty table gives no rows. Other columns are ignored.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -32,9 +35,11 @@ WINDOW = 8
 SHARE = 0.5
 BROADCAST_WINDOWS = 500_000
 GAP = 4
+SCHEMA = "doc_id long, item_id long, n_windows long, n_matched long, n_slots long, n_slot_conflicts long"
 NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
 NAME_PATTERN = r"(?<=[\p{Ll},;]\x20)\p{Lu}\p{Ll}[\p{L}\p{M}'’-]*+"
 NUMBER_PATTERN = r"\p{Nd}++(?:[.,:/]\p{Nd}++)*+"
+PLAIN_PATTERN = rf"{NUMBER_PATTERN}|[\p{{L}}\p{{M}}]++|[\p{{Sm}}*/%^-]"
 #: Units of measure.
 UNITS = "mm|cm|m|km|in|inch|inches|ft|feet|mi|mile|miles|g|kg|mg|lb|lbs|oz|l|ml|s|sec|second|seconds|min|minute|minutes|h|hour|hours|day|days|week|weeks|month|months|year|years|euro|euros|dollar|dollars|cents|percent|meter|meters|metre|metres|gram|grams|liter|liters|litre|litres|kph|mph|kmh"
 UNIT_PATTERN = rf"(?<=\x02\x20{{1,2}})(?:{UNITS})(?![\p{{L}}\p{{M}}])"
@@ -58,6 +63,11 @@ def slot_values(text: Column) -> Column:
     )
 
 
+def plain_tokens(text: Column) -> Column:
+    """Words in lower case, numbers and operators as they stand."""
+    return F.regexp_extract_all(F.lower(text), F.lit(PLAIN_PATTERN), F.lit(0))
+
+
 def windows(hashes: Column, size: int) -> Column:
     """Hash of each window; none if there are fewer tokens."""
     n = F.size(hashes) - size
@@ -90,6 +100,28 @@ def alignments(places: DataFrame) -> DataFrame:
     return named.distinct()
 
 
+def plainly_found(docs: DataFrame, items: DataFrame, share: float) -> DataFrame:
+    """The columns of contaminated, by windows of plain tokens."""
+    hashed = F.transform(plain_tokens(F.col("text")), lambda t: F.xxhash64(t)).alias("hashes")
+    asked = items.select("item_id", hashed).where(F.size("hashes") > 0).withColumn("size", F.least(F.size("hashes"), F.lit(WINDOW)))
+    sizes = range(1, WINDOW + 1)
+    each = [asked.where(F.col("size") == n).select("item_id", "size", F.posexplode(windows(F.col("hashes"), n)).alias("item_place", "hash")) for n in sizes]
+    sought = cut(reduce(DataFrame.unionByName, each), "op5-plain")
+    few = sought.count() <= BROADCAST_WINDOWS
+    texts = docs.where("doc_id is not null and text is not null").select("doc_id", hashed)
+    found = None
+    for n in sorted(r["size"] for r in sought.select("size").distinct().collect()):
+        side = sought.where(F.col("size") == n).select("item_id", "item_place", "hash")
+        own = texts.select("doc_id", F.explode(windows(F.col("hashes"), n)).alias("hash")).join(F.broadcast(side) if few else side, "hash").drop("hash")
+        found = own if found is None else found.unionByName(own)
+    if found is None:
+        return docs.sparkSession.createDataFrame([], SCHEMA)
+    total = sought.groupBy("item_id").agg(F.count("*").alias("n_windows"))
+    matched = found.distinct().groupBy("doc_id", "item_id").agg(F.count("*").alias("n_matched")).join(total, "item_id")
+    none = F.lit(0).cast("long")
+    return matched.where(F.col("n_matched") >= share * F.col("n_windows")).select("doc_id", "item_id", "n_windows", "n_matched", none.alias("n_slots"), none.alias("n_slot_conflicts"))
+
+
 def contaminated(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
     """doc_id, item_id, n_windows (of the item), n_matched (those of them found), n_slots (compared), n_slot_conflicts; pairs that are findings only."""
     items = items.where("item_id is not null and text is not null").select("item_id", "text").dropDuplicates(["item_id"])
@@ -102,10 +134,11 @@ def contaminated(docs: DataFrame, items: DataFrame, share: float = SHARE) -> Dat
         literal = F.size(F.filter(F.slice("tokens", F.col("item_place") + 1, F.lit(size)), lambda t: ~t.isin(NAME, NUMBER, UNIT)))
         own = own.where(2 * literal >= size).select("item_id", "item_place", "hash", F.lit(size).alias("size"))
         sought = own if sought is None else sought.unionByName(own)
-    schema = "doc_id long, item_id long, n_windows long, n_matched long, n_slots long, n_slot_conflicts long"
     if sought is None:
-        return docs.sparkSession.createDataFrame([], schema)
+        return plainly_found(docs, items, share)
     sought = cut(sought, "op5-sought")
+    rest = cut(items.join(sought.select("item_id").distinct(), "item_id", "left_anti"), "op5-rest")
+    plain = None if rest.isEmpty() else plainly_found(docs, rest, share)
     few = sought.count() <= BROADCAST_WINDOWS
     hashed = docs.where("doc_id is not null and text is not null").select("doc_id", F.transform(tokens(F.col("text")), lambda t: F.xxhash64(t)).alias("hashes"))
     found = None
@@ -141,7 +174,8 @@ def contaminated(docs: DataFrame, items: DataFrame, share: float = SHARE) -> Dat
     slot_counts = bound.groupBy(*one).agg(F.sum("n").alias("n_slots"), F.sum((F.col("values") > 1).cast("long")).alias("n_slot_conflicts"))
     joined = judged.join(slot_counts, one, "left").fillna(0, ["n_slots", "n_slot_conflicts"]).where("n_slot_conflicts = 0")
     best = F.max(F.struct("n_matched", "n_slots", "n_slot_conflicts", "n_windows")).alias("best")
-    return joined.groupBy(*pair).agg(best).select(*pair, *(f"best.{c.split()[0]}" for c in schema.split(", ")[2:]))
+    judged = joined.groupBy(*pair).agg(best).select(*pair, *(f"best.{c.split()[0]}" for c in SCHEMA.split(", ")[2:]))
+    return judged if plain is None else judged.unionByName(plain)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
