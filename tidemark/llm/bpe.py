@@ -17,6 +17,7 @@ from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import placed_words, slices, table, with_key
+from tidemark.llm.common import slices, table, with_key
 
 #: Fixed value: the pattern of the byte-level vocabulary that cuts a text into pretokens.
 PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -194,7 +195,7 @@ def pair_index(path: str) -> PairIndexBPE:
 class LibraryBPE:
     """Encoder of a vocabulary file of the tokenizers library whose pretokens never hold white space and end in tokens marked ``</w>``.
 
-    Every chunk between ASCII spaces, found by its 64-bit hash, is encoded by the library once while it is in the cache. Words
+    Every chunk between ASCII spaces is encoded by the library once while it is in the cache. Words
     of letters are sent to it many at a time, as one text, and told apart by the marked tokens. Ids fit in 16 bits.
     """
 
@@ -260,21 +261,10 @@ class LibraryBPE:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text, given in UTF-8, as unsigned 16-bit integers."""
         # the vocabulary drops case; A-Z are lowered here, but where a combining mark (lead bytes CC and CD) could compose with them
-        hashes, bounds, joined, start, end = placed_words([t if b"\xcc" in t or b"\xcd" in t else t.lower() for t in texts])
-        distinct, sample, which = np.unique(hashes, return_index=True, return_inverse=True)
-
-        def make(new: list[int]) -> list[bytes]:
-            k = sample[np.searchsorted(distinct, np.array(new, np.uint64))]
-            return self._chunks([joined[a:b] for a, b in zip(start[k].tolist(), end[k].tolist())])
-
-        known = self.chunks.get_distinct(distinct.tolist(), make)
-        sizes = np.fromiter(map(len, known), np.int64, len(known)) // 2
-        ids, first = np.frombuffer(b"".join(known), "<u2"), np.cumsum(sizes) - sizes
-        count = sizes[which]
-        ends = np.concatenate([[0], np.cumsum(count)])
-        out = ids[np.repeat(first[which] - ends[:-1], count) + np.arange(ends[-1])].tobytes()
-        at = (2 * ends[bounds]).tolist()
-        return [out[a:b] for a, b in zip(at, at[1:])]
+        words = [(t if b"\xcc" in t or b"\xcd" in t else t.lower()).split() for t in texts]
+        distinct = list(dict.fromkeys(chain.from_iterable(words)))
+        ids = dict(zip(distinct, self.chunks.get_distinct(distinct, self._chunks), strict=True))
+        return [b"".join([ids[w] for w in own]) for own in words]
 
 
 @lru_cache(2)

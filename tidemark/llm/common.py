@@ -1,15 +1,20 @@
-"""What the training-data operators share: tables, lineage cuts and 64-bit hashing in numpy."""
+"""What the training-data operators share: tables, lineage cuts and hashing."""
 
 from __future__ import annotations
 
 import gc
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from itertools import chain
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import work_folder
+
 #: Words end at these characters, as a Java and as a Python pattern: space and tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -19,19 +24,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir. Only where that is unset, as in tests, a folder of our own."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = tempfile.mkdtemp(prefix="tidemark-")
-        spark.sparkContext.setCheckpointDir(at)
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at
+@contextmanager
+def rows_a_batch(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows at most for what is computed inside: Spark bounds batches by rows only, and some rows here are large."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def cut(df: DataFrame, label: str) -> DataFrame:
     """Writes df to the shared folder and reads it back: lineage ends there, and a lost executor costs nothing already written."""
-    at = f"{shared_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    at = f"{work_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(at)
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
@@ -72,7 +79,6 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 BASE = np.uint64(0xD1342543DE82EF95)
 BASE_INVERSE = np.uint64(pow(int(BASE), -1, 1 << 64))
-_BYTES = mix(np.arange(1, 257, dtype=np.uint64) * GOLDEN)
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
@@ -86,27 +92,24 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A polynomial of the values from start to end, for each of these."""
+    """A polynomial of the values from start to end, for each of these. It only selects candidates: unlike values may collide by construction."""
     up, down = powers(len(values) + 1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * up[:-1])])
     return (total[end] - total[start]) * down[start]
 
 
-def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the words of all texts, one after the other, and where each text's words begin (and the last one's end)."""
-    return placed_words(texts)[:2]
-
+def hash_words(texts: list[bytes], seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """64 bits (xxh3) of each word of all texts, one after the other, and where each text's words begin (and the last one's end).
 
-def placed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, bytes, np.ndarray, np.ndarray]:
-    """What hash_words gives, a string that holds all words, and where each word starts and ends in it."""
-    joined = b" ".join([b"", *texts, b""])
-    x = np.frombuffer(joined, np.uint8)
-    inside = (x != 32) & (x - np.uint8(9) > 4)
-    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-    start, end = edge[::2], edge[1::2]
-    hashes = mix(range_hashes(_BYTES[x], start, end) ^ (end - start).astype(np.uint64))
-    at = np.cumsum([1, *(len(t) + 1 for t in texts)])
-    return hashes, np.searchsorted(start, at), joined, start, end
+    Other seeds give other hashes; two seeds make 128 bits.
+    """
+    words = [t.split() for t in texts]
+    bounds = np.cumsum([0, *map(len, words)])
+    if seed:
+        hashes = (xxhash.xxh3_64_intdigest(w, seed) for own in words for w in own)
+    else:
+        hashes = map(xxhash.xxh3_64_intdigest, chain.from_iterable(words))
+    return np.fromiter(hashes, np.uint64, int(bounds[-1])), bounds
 
 
 def slices(texts, chars: int = 1_000_000):

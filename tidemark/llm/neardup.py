@@ -7,9 +7,10 @@ batch gives the same minima as element by element, and a document stops as soon
 
 Signatures are cut into BANDS bands of ROWS places; classes that share a band are candidates. Within a shared band all are
 compared with one head, so pairs grow with the members. What did not link with its head's component is loose: it is compared
-with further heads, and what is loose then with every class of its cluster (classes whose bands hang together), block
-against block, so that no row stands for a single pair. No candidate pair of a band is left out. Every link is confirmed on the full
-sets. Links are grouped by contraction: nodes move to their least neighbour until no link is left.
+with further heads while that settles half of it a turn. What is loose then is met by rare elements: two sets that link share one
+of the rarest elements of each, whose number follows from the threshold, so each class is compared with every component it
+meets so, in blocks of whole sets. No candidate pair of a band is left out, and every link is confirmed on the full sets by
+counting their intersection. Links are grouped by contraction: nodes move to their least neighbour until no link is left.
 
 Recall of candidates: a pair of similarity s shares a band with probability 1 - (1 - s**ROWS)**BANDS, over 0.9999 at 0.8.
 
@@ -28,12 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import GOLDEN, as_bytes, cut, drop_cut, hash_words, mix, release, slices, table
+from tidemark.llm.common import GOLDEN, as_bytes, cut, drop_cut, hash_words, mix, release, rows_a_batch, slices, table
 
 BANDS, ROWS = 32, 6
 PLACES = BANDS * ROWS
-#: Turns of further heads before blocks, and elements in a block of sets.
-HEAD_TURNS, BLOCK = 1, 100_000
+#: Turns of further heads go on while each leaves less than this share of what was loose; then come blocks. It changes the work, not the result.
+GOES_ON = 0.5
+#: Elements in a block of sets, and rows of two blocks in a batch.
+BLOCK, BLOCK_ROWS = 50_000, 8
 UNSET = np.uint64(0xFFFFFFFFFFFFFFFF)
 LOW = np.uint64(0xFFFFFFFF)
 HALF = np.uint64(32)
@@ -174,85 +177,116 @@ def _with_component(members: DataFrame, labels: DataFrame) -> DataFrame:
     return members.join(named, "class", "left").withColumn("component", F.coalesce("component", "class"))
 
 
-def _blocks(rows: DataFrame, sets: DataFrame, out: str) -> DataFrame:
-    """Of rows (cluster, class, component): the sets of each cluster in blocks of about BLOCK elements, as cluster, out (array of class, component, set)."""
+def _blocks(rows: DataFrame, sets: DataFrame, by: str, out: str) -> DataFrame:
+    """Of rows (by, class, and component if there is one): the sets of each value of by in blocks of about BLOCK elements, as by, out."""
     sized = rows.join(sets.select("class", F.size("set").alias("n")), "class")
-    blocks = sized.groupBy("cluster").agg(F.ceil(F.sum("n") / BLOCK).alias("blocks"))
-    dealt = sized.join(blocks, "cluster").select("cluster", "class", "component", F.pmod(F.xxhash64("class"), "blocks").alias("block"))
-    one = F.struct("class", "component", "set")
-    return dealt.join(sets, "class").groupBy("cluster", "block").agg(F.collect_list(one).alias(out)).drop("block")
+    blocks = cut(sized.groupBy(by).agg(F.ceil(F.sum("n") / BLOCK).alias("blocks")), "neardup-sizes")
+    dealt = sized.drop("n").join(blocks, by).withColumn("block", F.pmod(F.xxhash64("class"), "blocks")).drop("blocks")
+    one = F.struct("class", "set")
+    return dealt.join(sets, "class").groupBy(by, "block").agg(F.collect_list(one).alias(out)).drop("block")
+
+
+def prefixes(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """element, class, component: the elements of each class of rows (class, component) by which a class of another component must be met.
+
+    Elements are ordered by the number of classes that have them, the rarest first. Two sets that link share one of the first
+    n - ceil(n * percent / 100) + 1 elements of each, whatever the order is.
+    """
+    spread = rows.join(sets, "class").select("class", "component", F.size("set").alias("n"), F.explode("set").alias("element"))
+    common = spread.groupBy("element").agg(F.count("*").alias("df"), F.min("component").alias("low"), F.max("component").alias("high"))
+    common = cut(common.where("df > 1").select("element", "df", (F.col("low") != F.col("high")).alias("mixed")), "neardup-common")
+    ranked = spread.join(common, "element").groupBy("class").agg(
+        F.any_value("component").alias("component"), F.any_value("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "element", "mixed"))).alias("shared")
+    )
+    # elements that one class alone has come first and lead to none
+    long = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("shared"))
+    first = ranked.where(long > 0).select("class", "component", F.explode(F.slice("shared", F.lit(1), long.cast("int"))).alias("at"))
+    return first.where("at.mixed").select("at.element", "class", "component")
+
+
+def compare_blocks(left: list, right: list, percent: int) -> list[bytes]:
+    """The classes of left that link with a class of right; both hold rows of class and set. Intersections are counted over an index of right."""
+    sizes = np.array([len(y["set"]) for y in right])
+    flat = np.concatenate([y["set"] for y in right])
+    order = np.argsort(flat, kind="stable")
+    element, first = np.unique(flat[order], return_index=True)
+    owner, last = np.repeat(np.arange(len(right)), sizes)[order], np.append(first[1:], len(flat))
+    found = []
+    for x in left:
+        own = np.asarray(x["set"])
+        at = np.minimum(np.searchsorted(element, own), len(element) - 1)
+        at = at[element[at] == own]
+        count = last[at] - first[at]
+        ends = np.cumsum(count)
+        posts = np.repeat(first[at] - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)
+        both = np.bincount(owner[posts], minlength=len(right))
+        if (100 * both >= percent * (sizes + len(own) - both)).any():
+            found.append(x["class"])
+    return found
 
 
 def block_links(loose: DataFrame, named: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """A link (a, b) of each loose class with each other component it links with, for each block. loose, named: band, class, component.
+    """Links (a, b) that connect loose classes with all components they link with, b being a component. loose, named: band, class, component.
 
-    Classes whose bands hang together make a cluster. Within it, blocks of loose classes meet blocks of all classes: rows
-    grow with the blocks, not with the pairs.
+    Classes in bands with loose ones meet by rare elements. Where classes of several components meet, those outside the largest
+    one are each compared with the components there, as a whole: sets of a component stand in blocks, and blocks of what is to be
+    compared meet blocks of the component. Rows grow with the pairs of a class and a component that share a rare element.
     """
-    own = named.join(loose.select("band").distinct(), "band")
-    edges = own.where(F.col("class") != F.col("head")).select(F.col("head").alias("a"), F.col("class").alias("b")).distinct()
-    clusters = components(edges, "neardup-clusters").select(F.col("node").alias("class"), F.col("component").alias("cluster"))
-    clusters = cut(own.select("class", "component").distinct().join(clusters, "class"), "neardup-clusters")
-    left = _blocks(clusters.join(loose.select("class").distinct(), "class", "left_semi"), sets, "left")
-    right = _blocks(clusters, sets, "right")
+    own = cut(named.join(loose.select("band").distinct(), "band").select("class", "component").distinct(), "neardup-own")
+    met = cut(prefixes(own, sets, percent), "neardup-prefixes")
+    members = own.groupBy("component").agg(F.count("*").alias("members"))
+    beside = cut(met.select("element", "component").distinct().join(cut(members, "neardup-counts"), "component"), "neardup-beside")
+    largest = cut(beside.groupBy("element").agg(F.max(F.struct("members", "component")).alias("largest"), F.count("*").alias("n")), "neardup-largest")
+    largest = largest.where("n > 1").select("element", F.col("largest.component").alias("largest"))
+    outside = met.join(largest, "element").where(F.col("component") != F.col("largest"))
+    outside = cut(outside.select("element", "class", "component"), "neardup-outside")
+    target = beside.select("element", F.col("component").alias("target"))
+    asked = outside.join(target, "element").where(F.col("component") != F.col("target")).select("class", "target").distinct()
+    asked = cut(asked, "neardup-asked")
+    for part in (met, beside, outside):
+        drop_cut(part)
+    left = _blocks(asked, sets, "target", "left")
+    wanted = own.join(asked.select(F.col("target").alias("component")).distinct(), "component", "left_semi")
+    right = cut(_blocks(wanted.select("class", F.col("component").alias("target")), sets, "target", "right"), "neardup-right")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = []
-            for left, right in zip(batch["left"], batch["right"], strict=True):
-                sizes = np.array([len(y["set"]) for y in right])
-                other = np.array([y["component"] for y in right], object)
-                number = np.unique(other, return_inverse=True)[1]
-                # an index from elements to the classes of the block that have them
-                flat = np.concatenate([y["set"] for y in right])
-                order = np.argsort(flat, kind="stable")
-                element, first = np.unique(flat[order], return_index=True)
-                owner, last = np.repeat(np.arange(len(right)), sizes)[order], np.append(first[1:], len(flat))
-                for x in left:
-                    at = np.searchsorted(element, x["set"])
-                    at = at[at < len(element)]
-                    at = at[np.isin(element[at], x["set"])]
-                    count = last[at] - first[at]
-                    ends = np.cumsum(count)
-                    posts = np.repeat(first[at] - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)
-                    both = np.bincount(owner[posts], minlength=len(right))
-                    linked = (100 * both >= percent * (sizes + len(x["set"]) - both)) & (other != x["component"])
-                    linked = np.flatnonzero(linked)
-                    # one class of each component that it links with
-                    found += [(x["class"], right[k]["class"]) for k in linked[np.unique(number[linked], return_index=True)[1]].tolist()]
+            found = [(x, target) for target, left, right in zip(batch["target"], batch["left"], batch["right"], strict=True) for x in compare_blocks(left, right, percent)]
             yield pd.DataFrame(found, columns=["a", "b"])
 
-    pairs = left.join(right, "cluster").select("left", "right").mapInPandas(compare, "a binary, b binary")
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    with rows_a_batch(sets.sparkSession, BLOCK_ROWS):
+        links = left.join(right, "target").select("target", "left", "right").mapInPandas(compare, "a binary, b binary")
+        links = cut(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "neardup-met")
+    drop_cut(right)
+    return links
 
 
 def class_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Confirmed links that connect what the candidate pairs of every band connect. members: band, class, head (least class of the band)."""
     star = members.where(F.col("class") != F.col("head")).select(F.col("head").alias("a"), F.col("class").alias("b")).distinct()
     links = cut(verified(star, sets, percent).where("linked").select("a", "b"), "neardup-links")
-    loose = None
-    for turn in range(HEAD_TURNS + 1):
-        if loose is None:
-            named = cut(_with_component(members, components(links, "neardup")), "neardup-named")
-            heads = named.where(F.col("class") == F.col("head")).select("band", F.col("component").alias("head_component"))
-            loose = cut(named.join(heads, "band").where(F.col("component") != F.col("head_component")), "neardup-loose")
-            if loose.isEmpty():
-                return links
-        if turn < HEAD_TURNS:
-            # what is loose is compared with other heads first, as many as it has bands: most links are found so
-            order = F.xxhash64("class", F.lit(turn))
-            bands = loose.select("band").distinct()
-            heads = named.join(bands, "band").groupBy("band").agg(F.min_by(F.struct("class", "component"), order).alias("other"))
-            star = loose.join(heads, "band").where(F.col("component") != F.col("other.component"))
-            star = star.select(F.least("class", "other.class").alias("a"), F.greatest("class", "other.class").alias("b")).distinct()
-            more = verified(star, sets, percent).where("linked").select("a", "b")
-        else:
-            # the rest with all members of the components beside it, in blocks
-            more = block_links(loose, named, sets, percent)
-        more = cut(more, "neardup-more")
-        if not more.isEmpty():
-            links, loose = cut(links.unionByName(more).distinct(), "neardup-links"), None
-    return links
+    before, turn = None, 0
+    while True:
+        named = cut(_with_component(members, components(links, "neardup")), "neardup-named")
+        heads = named.where(F.col("class") == F.col("head")).select("band", F.col("component").alias("head_component"))
+        loose = cut(named.join(heads, "band").where(F.col("component") != F.col("head_component")), "neardup-loose")
+        n = loose.count()
+        if not n:
+            return links
+        if before is not None and n >= GOES_ON * before:
+            # the rest with all classes of the components beside it, in blocks
+            return cut(links.unionByName(block_links(loose, named, sets, percent)), "neardup-links")
+        # what is loose is compared with other heads, as many as it has bands: most links are found so
+        order = F.xxhash64("class", F.lit(turn))
+        bands = loose.select("band").distinct()
+        heads = cut(named.join(bands, "band").groupBy("band").agg(F.min_by(F.struct("class", "component"), order).alias("other")), "neardup-heads")
+        star = loose.join(heads, "band").where(F.col("component") != F.col("other.component"))
+        star = star.select(F.least("class", "other.class").alias("a"), F.greatest("class", "other.class").alias("b")).distinct()
+        links = cut(links.unionByName(verified(star, sets, percent).where("linked").select("a", "b")).distinct(), "neardup-links")
+        before, turn = n, turn + 1
+        drop_cut(named)
+        drop_cut(loose)
+        release(sets.sparkSession)
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -276,7 +310,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     release(spark)
     labels = components(class_links(members, sets, percent), "neardup")
     named = _with_component(classes.select("class", "first_id"), labels)
-    least = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    least = cut(named.groupBy("component").agg(F.min("first_id").alias("component_id")), "neardup-least")  # written first, as above
     found = cut(named.join(least, "component").select("class", "component_id"), "neardup-found")
     drop_cut(sets)
     release(spark)

@@ -29,7 +29,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import library, texts_of, vocabulary
-from tidemark.llm.common import as_bytes, cut, drop_cut, shared_dir, table, with_key
+from tidemark.llm.common import as_bytes, cut, drop_cut, table, with_key
+from tidemark.session import work_folder
 
 MAGIC = b"TMRANS01"
 SCALE_BITS = 20
@@ -259,7 +260,7 @@ def op10_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary("word_bpe_49k.json")
     ids = cut(encode_ids(table(spark, sf_dir, "documents"), path), "op10-ids")
     shared = frequencies(ids, 49_408)
-    folder = f"{shared_dir(spark)}/op10-{uuid.uuid4().hex}"
+    folder = f"{work_folder(spark)}/op10-{uuid.uuid4().hex}"
     blocks = write_files(ids, folder, shared)
     drop_cut(ids)
     return read_files(spark, folder, blocks, shared)
