@@ -42,9 +42,11 @@ def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The folder that executors share, spark.checkpoint.dir; only where it is unset, as in tests, one of our own."""
+    """The folder that executors share, spark.checkpoint.dir. Where that is unset, one of our own if all runs on this machine, as in tests; else an error."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.partition("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         at = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at
