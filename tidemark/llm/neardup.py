@@ -322,3 +322,23 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
 def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of the documents by 2-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
+
+
+OP6_SQL = r"""
+with recursive words as (
+  select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w
+  from documents
+), shingles as (
+  select distinct doc_id, unnest(case when len(w) > 1 then list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) else w end) as s from words
+), sizes as (select doc_id, count(*) as n from shingles group by doc_id
+), shared as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by all
+), links as (
+  select x, y from shared join sizes p on p.doc_id = x join sizes q on q.doc_id = y where 100 * c >= 80 * (p.n + q.n - c)
+), edges as (select x as a, y as b from links union all select y, x from links
+), reached(a, b) as (
+  select doc_id, doc_id from documents union select reached.a, edges.b from reached join edges on reached.b = edges.a
+), least as (select a as doc_id, min(b) as component_id from reached group by a)
+select documents.doc_id, coalesce(sizes.n, 0) as n_shingles, least.component_id, documents.doc_id = least.component_id as kept
+from documents join least on documents.doc_id = least.doc_id left join sizes on documents.doc_id = sizes.doc_id
+"""
