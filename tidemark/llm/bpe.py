@@ -33,6 +33,10 @@ PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}
 IRREGULAR = regex.compile(r"\s\s|^\s|\s$")
 
 
+#: Entries of a generation of the caches: with the keys and values of this size, 100 MB in a worker at most.
+CHUNKS, PRETOKENS = 250_000, 30_000
+
+
 def vocabulary(name: str) -> str:
     """Path of a public vocabulary file of this machine."""
     import public_tokenizers
@@ -107,7 +111,7 @@ class PairIndexBPE:
         self.rank = {ids[a] << 20 | ids[b]: r for r, (a, b) in enumerate(merges)}
         self.merged = [(ids[a], ids[b], ids[a + b]) for a, b in merges]
         self.cut_special = regex.compile("|".join(f"({regex.escape(t)})" for t in sorted(self.special, key=len, reverse=True))) if self.special else None
-        self.chunks, self.pretokens = Recent(400_000), Recent(300_000)
+        self.chunks, self.pretokens = Recent(CHUNKS), Recent(PRETOKENS)
 
     def merge(self, pretokens: list[str]) -> list[bytes]:
         """Ids of each pretoken as unsigned 32-bit integers."""
@@ -153,10 +157,17 @@ class PairIndexBPE:
         return [packed[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
 
     def _chunks(self, chunks: list[str]) -> list[bytes]:
-        """A chunk is what stands between two single spaces: it starts with the space before it, or with a line feed."""
-        parts = [PRETOKEN.findall(c if c[0] == "\n" else f" {c}") for c in chunks]
-        flat = iter(self.pretokens.get_many([p for own in parts for p in own], self.merge))
-        return [b"".join([next(flat) for _ in own]) for own in parts]
+        """A chunk is what stands between two single spaces: it starts with the space before it, or with a line feed.
+
+        One of letters only is one pretoken and is kept as a chunk alone; others are cut, and their words looked up among these.
+        """
+        whole = [c for c in chunks if c.isalpha()]
+        merged = dict(zip(whole, self.merge([f" {c}" for c in whole]), strict=True))
+        known = self.chunks.new
+        cut = {c: PRETOKEN.findall(c if c[0] == "\n" else f" {c}") for c in chunks if c not in merged}
+        parts = [p for own in cut.values() for p in own if p[0] != " " or p[1:] not in known]
+        ids = dict(zip(parts, self.pretokens.get_many(parts, self.merge), strict=True))
+        return [merged[c] if c in merged else b"".join([ids[p] if p in ids else known[p[1:]] for p in cut[c]]) for c in chunks]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, with those of special tokens that stand in it, as unsigned 32-bit integers."""
@@ -214,7 +225,7 @@ class LibraryBPE:
             raise ValueError("ids must fit in 16 bits")
         self.last = np.zeros(1 << 16, bool)
         self.last[[i for token, i in vocabulary_.items() if token.endswith("</w>")]] = True
-        self.chunks, self.words, self.marks = Recent(400_000), Recent(300_000), {}
+        self.chunks, self.words, self.marks = Recent(400_000), Recent(100_000), {}
 
     def _apart(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
