@@ -1,4 +1,7 @@
+import json
 import random
+import subprocess
+import sys
 import zlib
 
 import numpy as np
@@ -75,15 +78,46 @@ def test_files_of_edges(spark, edges, nothing, tmp_path):
     rows = [(r["doc_id"], r["text"] or "") for r in edges.collect()]
     encoded = [(d, library.encode(t, add_special_tokens=False).ids + [2]) for d, t in rows]
     encoded.sort(key=lambda x: (x[0] is not None, x[0] or 0))
+    folder = str(tmp_path / "files")
     ids = rans.encode_ids(edges, path)
-    shared = rans.frequencies(ids, 49_408)
-    blocks = rans.write_files(ids, str(tmp_path / "files"), shared)
-    got = sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in rans.read_files(spark, str(tmp_path / "files"), blocks, shared).collect() if r["doc_id"] is not None)
+    rans.write_files(ids, folder, rans.frequencies(ids, rans.vocabulary_size(path)))
+    got = sorted((r["start"], r["doc_id"], r["n_tokens"], r["ids_crc32"]) for r in rans.read_files(spark, folder).collect() if r["doc_id"] is not None)
     start, expected = 0, []
     for doc, own in encoded:
         if doc is not None:
             expected.append((start, doc, len(own), zlib.crc32(np.array(own, "<u4").tobytes())))
         start += len(own)
     assert got == expected
-    empty = rans.write_files(rans.encode_ids(nothing, path), str(tmp_path / "none"), shared)
-    assert rans.read_files(spark, str(tmp_path / "none"), empty, shared).count() == 0
+    rans.write_files(rans.encode_ids(nothing, path), str(tmp_path / "none"), rans.Frequencies(np.ones(9)))
+    assert rans.read_files(spark, str(tmp_path / "none")).count() == 0
+
+
+ALONE = """
+import json, sys
+from tidemark.llm import rans
+folder, files = sys.argv[1], sys.argv[2:]
+print(json.dumps([[d, x.tolist()] for f in files for d, x in rans.read_file(folder, f)]))
+"""
+
+
+def test_a_folder_is_read_with_nothing_else_at_hand(spark, tmp_path):
+    path = bpe.vocabulary("word_bpe_49k.json")
+    docs = spark.createDataFrame([(i, f"text number {i} of some words " * (i % 7 + 1)) for i in range(200)], "doc_id long, text string").repartition(5)
+    folder = str(tmp_path / "files")
+    ids = rans.encode_ids(docs, path)
+    rans.write_files(ids, folder, rans.frequencies(ids, rans.vocabulary_size(path)))
+    expected = [[r["doc_id"], np.frombuffer(r["ids"], "<u2").tolist()] for r in ids.orderBy("doc_id").collect()]
+    # by its files alone, in a process of its own
+    files = sorted(p.name for p in (tmp_path / "files").glob("part-*.rans"))
+    out = subprocess.run([sys.executable, "-c", ALONE, folder, *files], capture_output=True, text=True, check=True).stdout
+    assert json.loads(out) == expected
+    # and by a session that did not write it, in blocks
+    rans.frequencies_of.cache_clear()
+    rows = rans.read_files(spark.newSession(), folder, digest=False).orderBy("start").collect()
+    assert [[r["doc_id"], np.frombuffer(r["ids"], "<u4").tolist()] for r in rows] == expected
+    assert not list((tmp_path / "files").glob(".part*"))
+    # another table is refused
+    (tmp_path / "files" / "frequencies").write_bytes(rans.Frequencies(np.ones(49_408)).to_bytes())
+    rans.frequencies_of.cache_clear()
+    with pytest.raises(ValueError):
+        list(rans.read_file(folder, files[0]))

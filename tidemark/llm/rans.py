@@ -5,14 +5,22 @@ in ascending doc_id order, null first, in independent blocks of whole documents.
 LANES interleaved states. Every SEGMENT_ROWS rows the block keeps a checkpoint (the states and the place in its words), from
 which decoding can start without what stands before; each segment's words and each block's ids have a checksum.
 
-File: MAGIC, the blocks, a footer (JSON: for each block its offset, length, documents and ids), the footer's length.
+A folder can be read with nothing else at hand. It holds
+
+* ``frequencies``: TABLE_MAGIC, the number of ids and the checksum of what follows, each id's share of 2**SCALE_BITS (all
+  unsigned 32-bit integers);
+* ``part-N.rans``, N ascending with doc_id: MAGIC, the checksum of the table, the blocks, a footer (JSON: for each block its
+  offset, length, documents and ids), the footer's length;
+* ``blocks``: a table of all blocks (path, offset, length, documents, n_ids, and start, the number of ids before it). It is written last
+  and names the files that count, so a write that was broken off leaves no folder that can be read by it.
+
 Block: header of 8 unsigned 32-bit integers (documents, ids, lanes, rows a segment, segments, words, checksum of the ids,
 checksum of the doc_ids and counts), doc_ids, their null flags, counts, for each segment its first word and checksum and
-its LANES states, the words. A file is written under another name and renamed when whole, so a lost executor leaves none
-half written, and a second attempt replaces it.
+its LANES states, the words. A file is written under another name and then renamed to that of its partition, whose rows
+are the same in every attempt: a lost executor leaves no half file, and a second attempt replaces the first one's.
 
-Nulls: a null text has no ids but the end id. Repeated doc_ids follow one another, by their ids. Empty tables give no file
-and no rows. A very long document makes a block of its own. Other columns are ignored.
+Nulls: a null text has no ids but the end id. Repeated doc_ids (and nulls) follow one another, by a hash of their ids. An empty table
+gives no file of blocks and no rows. A very long document makes a block of its own. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -21,18 +29,20 @@ import json
 import struct
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import library, texts_of, vocabulary
 from tidemark.llm.common import as_bytes, cut, drop_cut, table, with_key
 from tidemark.session import work_folder
 
-MAGIC = b"TMRANS01"
+MAGIC, TABLE_MAGIC = b"TMRANS02", b"TMFREQ01"
 SCALE_BITS = 20
 LOWEST = np.uint64(1 << 31)
 LANES = 2048
@@ -60,8 +70,34 @@ class Frequencies:
             self._symbols = np.repeat(np.arange(len(self.share), dtype=np.uint16), self.share.astype(np.int64))
         return self._symbols
 
+    @classmethod
+    def of_shares(cls, share: np.ndarray) -> Frequencies:
+        made = cls.__new__(cls)
+        made.__setstate__({"share": share.astype(np.uint64)})
+        return made
+
+    @property
+    def checksum(self) -> int:
+        return crc32(self.share.astype("<u4").tobytes())
+
+    def to_bytes(self) -> bytes:
+        return TABLE_MAGIC + struct.pack("<II", len(self.share), self.checksum) + self.share.astype("<u4").tobytes()
+
+    @classmethod
+    def from_bytes(cls, payload: bytes) -> Frequencies:
+        n, checksum = struct.unpack_from("<II", payload, len(TABLE_MAGIC))
+        made = cls.of_shares(np.frombuffer(payload, "<u4", n, len(TABLE_MAGIC) + 8))
+        if not payload.startswith(TABLE_MAGIC) or made.checksum != checksum or made.share.sum() != 1 << SCALE_BITS:
+            raise ValueError("the table of frequencies is damaged")
+        return made
+
+    def __setstate__(self, state):
+        self.share = state["share"]
+        self.first = (np.cumsum(self.share) - self.share).astype(np.uint64)
+        self._symbols = None
+
     def __getstate__(self):
-        return {"share": self.share, "first": self.first, "_symbols": None}
+        return {"share": self.share}
 
 
 def encode_block(doc_ids: list[int | None], documents: list[np.ndarray], table_: Frequencies) -> bytes:
@@ -151,6 +187,48 @@ def _filesystem(uri: str):
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
+def _read(fs, at: str, path: str, offset: int = 0, length: int | None = None) -> bytes:
+    with fs.open_input_file(f"{at}/{path}") as file:
+        return file.read_at(file.size() - offset if length is None else length, offset)
+
+
+def _put(fs, hidden: str, path: str) -> None:
+    """Renames, in place of what an earlier attempt left; some stores do not rename onto a file."""
+    try:
+        fs.move(hidden, path)
+    except OSError:
+        fs.delete_file(path)
+        fs.move(hidden, path)
+
+
+@lru_cache(2)
+def frequencies_of(folder: str) -> Frequencies:
+    """The table that codes a folder's files."""
+    return Frequencies.from_bytes(_read(*_filesystem(folder), "frequencies"))
+
+
+def read_file(folder: str, path: str) -> Iterator[tuple[int | None, np.ndarray]]:
+    """doc_id and ids of each document of one file, by its footer."""
+    payload, shared = _read(*_filesystem(folder), path), frequencies_of(folder)
+    check_file(payload, shared)
+    size = struct.unpack("<I", payload[-4:])[0]
+    for entry in json.loads(payload[-4 - size : -4]):
+        block = Block(payload[entry["offset"] : entry["offset"] + entry["length"]], shared)
+        yield from zip(block.doc_ids, np.split(block.ids(), np.cumsum(block.counts)[:-1]), strict=True)
+
+
+def check_file(head: bytes, shared: Frequencies) -> None:
+    if head[: len(MAGIC) + 4] != MAGIC + struct.pack("<I", shared.checksum):
+        raise ValueError("the file does not go with the table of frequencies")
+
+
+def vocabulary_size(path: str) -> int:
+    """Ids of a vocabulary file of the tokenizers library, from 0 to the largest."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    return 1 + max([*spec["model"]["vocab"].values(), *(t["id"] for t in spec["added_tokens"])])
+
+
 def encode_ids(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFrame:
     """doc_id, ids (unsigned 16-bit integers, so the vocabulary has 65,536 ids at most)."""
 
@@ -181,24 +259,27 @@ def frequencies(ids: DataFrame, size: int) -> Frequencies:
     return Frequencies(counts)
 
 
-def write_files(ids: DataFrame, folder: str, table_: Frequencies) -> pd.DataFrame:
-    """Writes the files and gives one row for each of their blocks in order: path, offset, length, n_ids, start (ids before it)."""
+def write_files(ids: DataFrame, folder: str, table_: Frequencies) -> None:
+    """Writes the folder: table of frequencies, files, table of blocks."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         fs, at = _filesystem(folder)
-        name, file, blocks = uuid.uuid4().hex, None, []
+        part = TaskContext.get().partitionId()
+        name, hidden = f"part-{part:06d}.rans", f"{at}/.part-{part:06d}-{uuid.uuid4().hex}"
+        file, blocks = None, []
         held: list[tuple[int | None, np.ndarray]] = []
         n_held = offset = 0
 
         def flush():
             nonlocal file, offset, n_held
             if file is None:
-                file = fs.open_output_stream(f"{at}/.{name}")
-                file.write(MAGIC)
-                offset = len(MAGIC)
+                file = fs.open_output_stream(hidden)
+                head = MAGIC + struct.pack("<I", table_.checksum)
+                file.write(head)
+                offset = len(head)
             payload = encode_block([d for d, _ in held], [x for _, x in held], table_)
             file.write(payload)
-            blocks.append({"offset": offset, "length": len(payload), "documents": len(held), "n_ids": n_held, "first": held[0][0]})
+            blocks.append({"offset": offset, "length": len(payload), "documents": len(held), "n_ids": n_held})
             offset += len(payload)
             held.clear()
             n_held = 0
@@ -216,51 +297,50 @@ def write_files(ids: DataFrame, folder: str, table_: Frequencies) -> pd.DataFram
             footer = json.dumps(blocks).encode()
             file.write(footer + struct.pack("<I", len(footer)))
             file.close()
-            fs.move(f"{at}/.{name}", f"{at}/{name}.rans")
-            for block in blocks:
-                first = block.pop("first")
-                yield pd.DataFrame([{"path": f"{name}.rans", **block, "first": first}]).astype({"first": "Int64"})
+            _put(fs, hidden, f"{at}/{name}")
+            yield pd.DataFrame(blocks).assign(part=part, path=name)
 
     fs, at = _filesystem(folder)
     fs.create_dir(at, recursive=True)
-    ordered = ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids").withColumn("doc_id", F.col("doc_id").cast("string"))
-    schema = "path string, offset long, length long, documents long, n_ids long, first long"
-    blocks = ordered.mapInPandas(run, schema).toPandas()  # a few numbers for each block of half a million ids
-    if blocks.empty:
-        return pd.DataFrame(columns=["path", "offset", "length", "n_ids", "start"])
-    blocks["first"] = blocks["first"].astype("Int64")
-    order = blocks.groupby("path", sort=False)["first"].transform(lambda s: s.iloc[0] if s.isna().any() else s.min())
-    blocks = blocks.assign(order=order).sort_values(["order", "path", "offset"], na_position="first", ignore_index=True)
-    return blocks.assign(start=blocks["n_ids"].cumsum() - blocks["n_ids"])[["path", "offset", "length", "n_ids", "start"]]
-
-
-def read_files(spark: SparkSession, folder: str, blocks: pd.DataFrame, table_: Frequencies, digest: bool = True) -> DataFrame:
-    """doc_id, start, n_tokens and ids_crc32 (or ids) of every document; blocks are decoded apart from one another."""
+    with fs.open_output_stream(f"{at}/frequencies") as file:
+        file.write(table_.to_bytes())
+    # rows that share a doc_id, or have none, are many partitions' if need be
+    ordered = ids.withColumn("tie", F.xxhash64("ids")).repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie", "ids")
+    schema = "part long, path string, offset long, length long, documents long, n_ids long"
+    blocks = cut(ordered.select(F.col("doc_id").cast("string").alias("doc_id"), "ids").mapInPandas(run, schema), "op10-blocks")
+    # ids before each file, a row for each; then before each block of its own
+    parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("own"))
+    parts = parts.select("part", (F.sum("own").over(Window.orderBy("part")) - F.col("own")).alias("before"))
+    inside = F.sum("n_ids").over(Window.partitionBy("part").orderBy("offset")) - F.col("n_ids")
+    listed = blocks.join(parts, "part").select("path", "offset", "length", "documents", "n_ids", (F.col("before") + inside).alias("start"))
+    listed.write.mode("overwrite").parquet(f"{folder}/blocks")
+    drop_cut(blocks)
+
+
+def read_files(spark: SparkSession, folder: str, digest: bool = True) -> DataFrame:
+    """doc_id, start, n_tokens and ids_crc32 (or ids) of every document of a folder; blocks are decoded apart from one another."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fs, at = _filesystem(folder)
+        (fs, at), shared = _filesystem(folder), frequencies_of(folder)
         for batch in batches:
             for row in batch.itertuples():
-                with fs.open_input_file(f"{at}/{row.path}") as file:
-                    block = Block(file.read_at(row.length, row.offset), table_)
+                check_file(_read(fs, at, row.path, 0, len(MAGIC) + 4), shared)
+                block = Block(_read(fs, at, row.path, row.offset, row.length), shared)
                 ids, ends = block.ids().astype("<u4"), np.cumsum(block.counts)
                 parts = [ids[e - n : e].tobytes() for e, n in zip(ends.tolist(), block.counts.tolist(), strict=True)]
                 out = pd.DataFrame({"doc_id": pd.array(block.doc_ids, "Int64"), "start": row.start + ends - block.counts, "n_tokens": block.counts})
                 yield out.assign(ids_crc32=[crc32(p) for p in parts]) if digest else out.assign(ids=parts)
 
+    listed = spark.read.schema("path string, offset long, length long, start long").parquet(f"{folder}/blocks")
     schema = "doc_id long, start long, n_tokens long, " + ("ids_crc32 long" if digest else "ids binary")
-    if blocks.empty:
-        return spark.createDataFrame([], schema)
-    listed = spark.createDataFrame(blocks, "path string, offset long, length long, n_ids long, start long")
-    return listed.repartition(-(-len(blocks) // BLOCKS_A_TASK) or 1).mapInPandas(run, schema)
+    return listed.repartition(-(-listed.count() // BLOCKS_A_TASK) or 1).mapInPandas(run, schema)
 
 
 def op10_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written to files and read back."""
     path = vocabulary("word_bpe_49k.json")
     ids = cut(encode_ids(table(spark, sf_dir, "documents"), path), "op10-ids")
-    shared = frequencies(ids, 49_408)
     folder = f"{work_folder(spark)}/op10-{uuid.uuid4().hex}"
-    blocks = write_files(ids, folder, shared)
+    write_files(ids, folder, frequencies(ids, vocabulary_size(path)))
     drop_cut(ids)
-    return read_files(spark, folder, blocks, shared)
+    return read_files(spark, folder)
