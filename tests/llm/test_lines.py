@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from tidemark.llm import lines
 
 
@@ -16,31 +18,78 @@ def test_patience_aligns_equal_lines_in_order():
 
 
 def test_short_blocks_stay():
-    assert lines.common_blocks([1, 2], [1, 2], [10, 10], least=21) == []
-    assert lines.common_blocks([1, 2], [1, 2], [10, 11], least=21) == [0, 1]
-
-
-def brute(rows: list[tuple]) -> dict:
-    docs = {d: t.split("\n") for d, t in rows if d is not None and t is not None}
-    owners: dict = {}
-    for d in sorted(docs):
-        for line in dict.fromkeys(docs[d]):
-            if line.split():
-                owners.setdefault(line, []).append(d)
-    most = max(lines.RARE_LEAST, lines.RARE_SHARE * len(docs))
-    gone: dict = {d: set() for d in docs}
-    for v in owners.values():
-        for d in v[1:] if 2 <= len(v) <= most else []:
-            gone[d].update(lines.common_blocks(docs[v[0]], docs[d], [len(x) for x in docs[d]]))
-    return {d: "\n".join(x for i, x in enumerate(own) if i not in gone[d]) for d, own in docs.items()}
-
-
-def test_equals_brute_force(spark):
-    rng = random.Random(3)
-    pool = [f"a line that many documents have, number {i}" for i in range(30)] + ["short", "", " "]
-    rows = [(d, "\n".join(rng.choice(pool) if rng.random() < 0.5 else f"own line {rng.randrange(10**9)} of this one" for _ in range(rng.randrange(0, 12)))) for d in range(80)]
+    later = [(0, 1, 10), (1, 2, 10)]
+    assert lines.common_blocks([1, 2], later, [], least=21) == set()
+    assert lines.common_blocks([1, 2], [(0, 1, 10), (1, 2, 11)], [(0, 1)], least=21) == {0, 1}
+
+
+def test_blocks_in_another_order_are_found():
+    later = [(k, h, 40) for k, h in enumerate([3, 4, 1, 2])]
+    assert lines.common_blocks([1, 2, 9, 3, 4], later, [(k, k) for k in range(4)]) == {0, 1, 2, 3}
+
+
+def test_runs_are_the_shortest():
+    assert lines.runs_of([40, 1, 31, 2], 32) == [(0, 0), (0, 1), (1, 2), (2, 3)]
+    assert lines.runs_of([5, 5], 32) == [] and lines.runs_of([], 32) == []
+
+
+def brute(rows: list[tuple], least: int = lines.MIN_CHARS) -> dict:
+    """Every document against every earlier one: all their common runs of lines, however short the lines are."""
+    docs = {d: (t.split("\n"), [k for k, x in enumerate(t.split("\n")) if x.strip(" \t\n\x0b\x0c\r")]) for d, t in rows if d is not None and t is not None}
+    out = {}
+    for d, (own, places) in docs.items():
+        gone = set()
+        mine = [own[k] for k in places]
+        for e, (other, there) in docs.items():
+            theirs = [other[k] for k in there]
+            for i in range(len(mine)) if e < d else []:
+                for j in range(len(theirs)):
+                    n = 0
+                    while i + n < len(mine) and j + n < len(theirs) and mine[i + n] == theirs[j + n]:
+                        n += 1
+                    if sum(map(len, mine[i : i + n])) >= least:
+                        gone.update(places[i : i + n])
+        out[d] = "\n".join(x for k, x in enumerate(own) if k not in gone)
+    return out
+
+
+def deduped(spark, rows: list[tuple]) -> dict:
     got = lines.without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
-    assert {r["doc_id"]: r["text"] for r in got} == brute(rows)
+    return {r["doc_id"]: r["text"] for r in got}
+
+
+@pytest.mark.parametrize("seed", [3, 4])
+def test_equals_all_pairs(spark, monkeypatch, seed):
+    monkeypatch.setattr(lines, "PAIRS", 3)
+    rng = random.Random(seed)
+    pool = [f"a line that many documents have, number {i}" for i in range(8)] + ["short", "tiny one", "verse of song", "and another é", "fifteen letters", "", " "]
+    rows = [(d, "\n".join(rng.choice(pool) if rng.random() < 0.8 else f"own {rng.randrange(10**6)}" for _ in range(rng.randrange(0, 14)))) for d in range(80)]
+    assert deduped(spark, rows) == brute(rows)
+
+
+def test_an_earlier_holder_of_the_lines_does_not_hide_a_block(spark):
+    block = ["short line of verse", "and the next of it", "and its end"]
+    rows = [(1, "\n".join([block[0], "x" * 40, block[1], "y" * 40, block[2]])), (2, "\n".join(["of the second"] + block)), (3, "\n".join(["of the third"] + block))]
+    assert deduped(spark, rows)[3] == "of the third" and deduped(spark, rows[1:])[3] == "of the third"
+
+
+def test_a_line_of_every_document_goes_from_all_but_the_first(spark):
+    line = "a license line that stands in each and every document"
+    rows = [(d, f"own text {d}\n{line}") for d in range(60)]
+    assert deduped(spark, rows) == {d: f"own text {d}" + (f"\n{line}" if d == 0 else "") for d in range(60)}
+
+
+def test_rows_of_one_doc_id_with_several_texts(spark):
+    a, b = "a" * 40, "b" * 40
+    got = lines.without_repeated_lines(spark.createDataFrame([(1, a), (2, f"{b}\nz"), (2, f"{a}\nz")], "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == [(1, a), (2, f"{b}\nz"), (2, "z")] or sorted((r["doc_id"], r["text"]) for r in got)[1:] == [(2, f"{b}\nz"), (2, "z")]
+
+
+def test_long_documents(spark):
+    """Time is in proportion: 100,000 lines, all of them repeated."""
+    text = "\n".join(f"line number {k} of a very long document" for k in range(100_000))
+    got = deduped(spark, [(1, text), (2, text + "\nend")])
+    assert got == {1: text, 2: "end"}
 
 
 def test_edges(spark, edges, nothing):

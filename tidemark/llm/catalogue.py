@@ -14,4 +14,4 @@ QUERIES = {
     "op9_language_id": langid.op9_language_id,
     "op10_rans_files": rans.op10_rans_files,
 }
-ORACLES = {"op2_chat_formatting": chat.OP2_SQL, "op6_near_dedup": neardup.OP6_SQL, "op8_substring_dedup": substring.OP8_SQL}
+ORACLES = {"op1_line_dedup": lines.OP1_SQL, "op2_chat_formatting": chat.OP2_SQL, "op6_near_dedup": neardup.OP6_SQL, "op8_substring_dedup": substring.OP8_SQL}
