@@ -30,12 +30,23 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+#: Rows of an Arrow batch, unless the session says otherwise: with texts of a few kB, Spark's default makes batches of tens of MB on both sides.
+BATCH_ROWS = "1000"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def shipped(query: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
-    """The query, after the package was sent."""
+    """The query, after the package was sent and batches were bounded."""
 
     @wraps(query)
     def run(spark: SparkSession, *args, **kwargs) -> DataFrame:
         ship(spark)
+        bound_batches(spark)
         return query(spark, *args, **kwargs)
 
     return run
