@@ -26,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import GOLDEN, as_bytes, cut, drop_cut, hash_words, mix, release, rows_a_batch, slices, table
@@ -186,11 +186,16 @@ def _blocks(rows: DataFrame, sets: DataFrame, by: str, out: str) -> DataFrame:
     return dealt.join(sets, "class").groupBy(by, "block").agg(F.collect_list(one).alias(out)).drop("block")
 
 
+def needed(n: Column, m: Column, percent: int) -> Column:
+    """How many elements sets of n and m elements must share to link."""
+    return F.ceil(percent * (n + m) / (100 + percent))
+
+
 def prefixes(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """element, class, component: the elements of each class of rows (class, component) by which a class of another component must be met.
+    """element, class, component, n, at: where the rarest elements of each class of rows (class, component) stand in its order.
 
-    Elements are ordered by the number of classes that have them, the rarest first. Two sets that link share one of the first
-    n - ceil(n * percent / 100) + 1 elements of each, whatever the order is.
+    Elements are ordered by the number of classes that have them, the rarest first. Sets of n and m elements that link share an
+    element among the first n - needed + 1 of the one and the first m - needed + 1 of the other, whatever the order is.
     """
     spread = rows.join(sets, "class").select("class", "component", F.size("set").alias("n"), F.explode("set").alias("element"))
     common = spread.groupBy("element").agg(F.count("*").alias("df"), F.min("component").alias("low"), F.max("component").alias("high"))
@@ -199,9 +204,10 @@ def prefixes(rows: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         F.any_value("component").alias("component"), F.any_value("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "element", "mixed"))).alias("shared")
     )
     # elements that one class alone has come first and lead to none
-    long = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - (F.col("n") - F.size("shared"))
-    first = ranked.where(long > 0).select("class", "component", F.explode(F.slice("shared", F.lit(1), long.cast("int"))).alias("at"))
-    return first.where("at.mixed").select("at.element", "class", "component")
+    alone = F.col("n") - F.size("shared")
+    most = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1 - alone).cast("int")
+    first = ranked.where(most > 0).select("class", "component", "n", alone.alias("alone"), F.posexplode(F.slice("shared", F.lit(1), most)).alias("place", "x"))
+    return first.where("x.mixed").select("x.element", "class", "component", "n", (F.col("alone") + F.col("place")).alias("at"))
 
 
 def compare_blocks(left: list, right: list, percent: int) -> list[bytes]:
@@ -229,20 +235,25 @@ def block_links(loose: DataFrame, named: DataFrame, sets: DataFrame, percent: in
     """Links (a, b) that connect loose classes with all components they link with, b being a component. loose, named: band, class, component.
 
     Classes in bands with loose ones meet by rare elements. Where classes of several components meet, those outside the largest
-    one are each compared with the components there, as a whole: sets of a component stand in blocks, and blocks of what is to be
-    compared meet blocks of the component. Rows grow with the pairs of a class and a component that share a rare element.
+    one are each compared with the components there that they can link with by size and place, as a whole: sets of a component
+    stand in blocks, and blocks of what is to be compared meet blocks of the component. Rows grow with the pairs of a class and a
+    component that share an element rare enough.
     """
     own = cut(named.join(loose.select("band").distinct(), "band").select("class", "component").distinct(), "neardup-own")
     met = cut(prefixes(own, sets, percent), "neardup-prefixes")
-    members = own.groupBy("component").agg(F.count("*").alias("members"))
-    beside = cut(met.select("element", "component").distinct().join(cut(members, "neardup-counts"), "component"), "neardup-beside")
-    largest = cut(beside.groupBy("element").agg(F.max(F.struct("members", "component")).alias("largest"), F.count("*").alias("n")), "neardup-largest")
-    largest = largest.where("n > 1").select("element", F.col("largest.component").alias("largest"))
-    outside = met.join(largest, "element").where(F.col("component") != F.col("largest"))
-    outside = cut(outside.select("element", "class", "component"), "neardup-outside")
-    target = beside.select("element", F.col("component").alias("target"))
-    asked = outside.join(target, "element").where(F.col("component") != F.col("target")).select("class", "target").distinct()
-    asked = cut(asked, "neardup-asked")
+    # of classes that link the smaller one, or one of two as large, has the element this early
+    early = F.col("at") <= F.col("n") - needed(F.col("n"), F.col("n"), percent)
+    beside = cut(met.groupBy("element", "component", "n", "at").agg(F.count("*").alias("classes"), F.any_value(early).alias("early")), "neardup-beside")
+    sums = beside.groupBy("element", "component").agg(F.sum("classes").alias("classes"), F.max("early").alias("early"))
+    largest = sums.groupBy("element").agg(F.max(F.struct("classes", "component")).alias("largest"), F.count("*").alias("n"), F.max("early").alias("early"))
+    largest = cut(largest.where("n > 1 and early").select("element", F.col("largest.component").alias("largest")), "neardup-largest")
+    outside = cut(met.join(largest, "element").where(F.col("component") != F.col("largest")).withColumn("early", early), "neardup-outside")
+    target = beside.select("element", F.col("component").alias("target"), F.col("n").alias("m"), F.col("at").alias("place"), F.col("early").alias("first"))
+    least = needed(F.col("n"), F.col("m"), percent)
+    asked = outside.join(target, "element").where(
+        (F.col("early") | F.col("first")) & (F.col("component") != F.col("target")) & (F.col("at") <= F.col("n") - least) & (F.col("place") <= F.col("m") - least)
+    )
+    asked = cut(asked.select("class", "target").distinct(), "neardup-asked")
     for part in (met, beside, outside):
         drop_cut(part)
     left = _blocks(asked, sets, "target", "left")
