@@ -1,21 +1,26 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame functions only.
 
-Texts and benchmark items become templates: names (words inside a sentence of which the first letter is a capital and the second is not), numbers and units of measure behind
-numbers are replaced by typed placeholders, letters are lower-cased, all else separates tokens. Windows of WINDOW template
-tokens are hashed and joined by hash. An item is found in a document if at least SHARE of its windows are, in one alignment. At
-the places that match, each value of a placeholder in the item must stand for one value in the document (slot consistency); so
-a question with other numbers or names is caught, and a chance likeness of templates with slots at random is not.
+Texts and benchmark items are cut into numbers, words and operators in front of a number. In the template names (words of
+which the first letter is a capital and the second is small, wherever they stand), numbers and units of measure behind
+numbers are replaced by typed placeholders, other words are lower-cased. Windows of WINDOW template tokens are hashed and
+joined by hash. An item is found in a document if at least SHARE of its windows are, in one alignment, with consistent slots:
+at the places that match, and near them, each value of a placeholder in the item stands for one value in the document, and each
+name or unit of the document for one of the item. So a question with other numbers or names is caught, and a chance likeness
+of templates with slots at random is not. Numbers may coincide: 3 + 5 can become 4 + 4.
 
 Alignments are the shifts from places of the item to places of the document: each shift for itself, shifts that lie together by
 ever wider gaps (powers of GAP, for copies with insertions), and all of them. Each is judged alone and one that passes is enough,
 so other variants, copies and chance matches elsewhere in the document do not hide an item. The columns are those of the passing
 alignment with most windows.
 
-Items shorter than WINDOW tokens have one window of their own length; windows of the item with fewer than half of their
-tokens literal are not used. An item without any window of more (arithmetic, sequences, tables) is looked for by windows of its
-plain tokens, which are words, numbers and operators as they stand but for the case of letters; at least SHARE of them must be
-found, and there are no slots. Only an item without a letter, number or operator is not looked for. The item windows are broadcast only if they
-are at most BROADCAST_WINDOWS, counted first; else both sides are shuffled by hash.
+Windows of the plain tokens, lower-cased, are joined beside those of the template: a document that holds SHARE of an item's plain
+windows holds the item whatever its slots are. So copies in other case are caught, and items with many placeholders (arithmetic,
+sequences, tables): template windows of the item with fewer than half of their tokens literal are not used. A finding by plain windows
+alone has no slots. Items shorter than WINDOW tokens have one window of their own length; only an item without a letter, number
+or operator is not looked for.
+
+Texts are tokenised once for all windows. The item windows are broadcast only if they are at most BROADCAST_WINDOWS, counted
+first; else both sides are shuffled by hash. Work is in proportion to the tokens.
 
 Nulls: null texts match nothing; rows without doc_id or item_id are skipped. Repeated rows give the same findings once.
 An empty table gives no rows. Other columns are ignored.
@@ -24,64 +29,98 @@ An empty table gives no rows. Other columns are ignored.
 from __future__ import annotations
 
 import math
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import cut, table
+from tidemark.llm.common import cut, drop_cut, table
 
 WINDOW = 8
 SHARE = 0.5
 BROADCAST_WINDOWS = 500_000
 GAP = 4
-SCHEMA = "doc_id long, item_id long, n_windows long, n_matched long, n_slots long, n_slot_conflicts long"
-NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
-NAME_PATTERN = r"(?<=[\p{Ll},;]\x20)\p{Lu}\p{Ll}[\p{L}\p{M}'’-]*+"
+TEMPLATE, PLAIN = 0, 1
+NAME, NUMBER, UNIT = "name", "number", "unit"
 NUMBER_PATTERN = r"\p{Nd}++(?:[.,:/]\p{Nd}++)*+"
-PLAIN_PATTERN = rf"{NUMBER_PATTERN}|[\p{{L}}\p{{M}}]++|[\p{{Sm}}*/%^-]"
-#: Units of measure.
-UNITS = "mm|cm|m|km|in|inch|inches|ft|feet|mi|mile|miles|g|kg|mg|lb|lbs|oz|l|ml|s|sec|second|seconds|min|minute|minutes|h|hour|hours|day|days|week|weeks|month|months|year|years|euro|euros|dollar|dollars|cents|percent|meter|meters|metre|metres|gram|grams|liter|liters|litre|litres|kph|mph|kmh"
-UNIT_PATTERN = rf"(?<=\x02\x20{{1,2}})(?:{UNITS})(?![\p{{L}}\p{{M}}])"
+WORD_PATTERN = r"[\p{L}\p{M}]++(?:['’-][\p{L}\p{M}]++)*+"
+OPERATOR_PATTERN = r"[\p{Sm}*/^-](?=\x20?+[\p{Nd}(])"
+#: Units of measure, in English, German, French and Spanish.
+UNITS = """
+mm cm m km in inch inches ft foot feet yd yard yards mi mile miles g kg mg lb lbs oz ounce ounces l ml s sec second seconds min minute minutes h hour hours
+day days week weeks month months year years euro euros dollar dollars cent cents percent degree degrees meter meters metre metres gram grams liter liters litre litres kph mph kmh
+sekunde sekunden minuten stunde stunden tag tage tagen woche wochen monat monate monaten jahr jahre jahren prozent grad liter meile meilen
+seconde secondes heure heures jour jours semaine semaines mois an ans degré degrés mètre mètres kilomètre kilomètres gramme grammes
+segundo segundos minuto minutos hora horas día días semana semanas mes meses año años grado grados metro metros kilómetro kilómetros gramo gramos litro litros
+""".split()
 
 
 def tokens(text: Column) -> Column:
-    """The template's tokens."""
-    c = F.lower(F.regexp_replace(text, NAME_PATTERN, NAME))
-    c = F.regexp_replace(F.regexp_replace(c, NUMBER_PATTERN, f" {NUMBER} "), UNIT_PATTERN, UNIT)
-    return F.array_remove(F.split(F.regexp_replace(c, r"[^\p{L}\p{M}\x01-\x03]++", " "), " "), "")
+    """Numbers, words and operators as they stand."""
+    return F.regexp_extract_all(text, F.lit(f"{NUMBER_PATTERN}|{WORD_PATTERN}|{OPERATOR_PATTERN}"), F.lit(0))
+
+
+def is_number(token: Column) -> Column:
+    return token.rlike(r"^\p{Nd}")
+
+
+def kind_of(token: Column, before: Column) -> Column:
+    """The kind of a token's placeholder, null if it is literal; before: the token in front of it, or an empty one."""
+    unit = F.lower(token).isin(UNITS) & is_number(before)
+    return F.when(is_number(token), F.lit(NUMBER)).when(token.rlike(r"^\p{Lu}[\p{Ll}\p{M}]"), F.lit(NAME)).when(unit, F.lit(UNIT))
+
+
+def with_before(raw: str, of: Callable[[Column, Column], Column]) -> Column:
+    """of each token and the one in front of it. Arrays are arguments here and below, never read inside a lambda: there they would be made anew for each place."""
+    return F.zip_with(raw, F.slice(F.concat(F.array(F.lit("")), F.col(raw)), F.lit(1), F.size(raw)), of)
+
+
+def tokenised(rows: DataFrame, key: str) -> DataFrame:
+    """key, n (tokens), plain_1 and template_1 (hashes of the tokens of each form)."""
+    marks = {kind: F.xxhash64(F.lit("slot"), F.lit(kind)) for kind in (NAME, NUMBER, UNIT)}
 
+    def mark(token: Column, before: Column) -> Column:
+        kind = kind_of(token, before)
+        return F.when(kind == NAME, marks[NAME]).when(kind == NUMBER, marks[NUMBER]).when(kind == UNIT, marks[UNIT])
 
-def slot_values(text: Column) -> Column:
-    """Values of the placeholders by kind, in the order in which they stand."""
-    lowered = F.lower(text)
-    numbered = F.regexp_replace(F.lower(F.regexp_replace(text, NAME_PATTERN, NAME)), NUMBER_PATTERN, f" {NUMBER} ")
-    return F.create_map(
-        F.lit(NAME), F.transform(F.regexp_extract_all(text, F.lit(NAME_PATTERN), F.lit(0)), F.lower),
-        F.lit(NUMBER), F.regexp_extract_all(lowered, F.lit(NUMBER_PATTERN), F.lit(0)),
-        F.lit(UNIT), F.regexp_extract_all(numbered, F.lit(UNIT_PATTERN), F.lit(0)),
-    )
+    raw = rows.select(key, tokens(F.col("text")).alias("raw"))
+    held = raw.select(key, F.size("raw").alias("n"), F.transform("raw", lambda t: F.xxhash64(F.lower(t))).alias("plain_1"), with_before("raw", mark).alias("marks"))
+    return held.select(key, "n", "plain_1", F.zip_with("plain_1", "marks", lambda h, m: F.coalesce(m, h)).alias("template_1"))
 
 
-def plain_tokens(text: Column) -> Column:
-    """Words in lower case, numbers and operators as they stand."""
-    return F.regexp_extract_all(F.lower(text), F.lit(PLAIN_PATTERN), F.lit(0))
+def with_windows(rows: DataFrame, sizes: list[int]) -> DataFrame:
+    """rows with windows, an array of mode, size, place and hash for windows of all these sizes, made by doubling."""
+    forms = ((TEMPLATE, "template"), (PLAIN, "plain"))
 
+    def joined(form: str, size: int, left: int) -> Column:
+        """Windows of a size from those of the sizes left and size - left."""
+        count = F.greatest(F.col("n") - size + 1, F.lit(0))
+        return F.zip_with(F.slice(f"{form}_{left}", F.lit(1), count), F.slice(f"{form}_{size - left}", F.lit(left + 1), count), lambda a, b: F.xxhash64(a, b))
 
-def windows(hashes: Column, size: int) -> Column:
-    """Hash of each window; none if there are fewer tokens."""
-    n = F.size(hashes) - size
-    return F.when(n >= 0, F.transform(F.sequence(F.lit(0), n), lambda i: F.xxhash64(F.slice(hashes, i + 1, F.lit(size)))))
+    made = {1}
+
+    def make(size: int) -> None:
+        nonlocal rows
+        if size not in made:
+            left = 1 << ((size - 1).bit_length() - 1)
+            make(left)
+            make(size - left)
+            rows = rows.withColumns({f"{form}_{size}": joined(form, size, left) for _, form in forms})
+            made.add(size)
+
+    def placed(hashes: Column, mode: int, size: int) -> Column:
+        return F.transform(hashes, lambda h, i: F.struct(F.lit(mode).alias("mode"), F.lit(size).alias("size"), i.alias("place"), h.alias("hash")))
+
+    for size in sizes:
+        make(size)
+    return rows.withColumn("windows", F.concat(*(placed(F.col(f"{form}_{size}"), mode, size) for size in sizes for mode, form in forms)))
 
 
 def slots(rows: DataFrame, key: str) -> DataFrame:
     """key, place, kind, value of every placeholder."""
-    parts = rows.select(key, tokens(F.col("text")).alias("tokens"), slot_values(F.col("text")).alias("values"))
-    held = F.filter(F.transform("tokens", lambda t, i: F.struct(i.alias("place"), t.alias("kind"))), lambda x: x["kind"].isin(NAME, NUMBER, UNIT))
-    parts = parts.withColumn("held", held).where(F.size("held") > 0)
-    ranked = F.transform("held", lambda x, i: F.struct(x["place"].alias("place"), x["kind"].alias("kind"), F.size(F.filter(F.slice("held", F.lit(1), i), lambda y: y["kind"] == x["kind"])).alias("rank")))
-    one = parts.select(key, "values", F.explode(ranked).alias("slot"))
-    return one.select(key, "slot.place", "slot.kind", F.col("values")[F.col("slot.kind")][F.col("slot.rank")].alias("value"))
+    raw = rows.select(key, tokens(F.col("text")).alias("raw"))
+    one = with_before("raw", lambda t, before: F.struct(kind_of(t, before).alias("kind"), F.lower(t).alias("value")))
+    return raw.select(key, F.posexplode(one).alias("place", "slot")).where("slot.kind is not null").select(key, "place", "slot.kind", "slot.value")
 
 
 def alignments(places: DataFrame) -> DataFrame:
@@ -100,82 +139,67 @@ def alignments(places: DataFrame) -> DataFrame:
     return named.distinct()
 
 
-def plainly_found(docs: DataFrame, items: DataFrame, share: float) -> DataFrame:
-    """The columns of contaminated, by windows of plain tokens."""
-    hashed = F.transform(plain_tokens(F.col("text")), lambda t: F.xxhash64(t)).alias("hashes")
-    asked = items.select("item_id", hashed).where(F.size("hashes") > 0).withColumn("size", F.least(F.size("hashes"), F.lit(WINDOW)))
-    sizes = range(1, WINDOW + 1)
-    each = [asked.where(F.col("size") == n).select("item_id", "size", F.posexplode(windows(F.col("hashes"), n)).alias("item_place", "hash")) for n in sizes]
-    sought = cut(reduce(DataFrame.unionByName, each), "op5-plain")
-    few = sought.count() <= BROADCAST_WINDOWS
-    texts = docs.where("doc_id is not null and text is not null").select("doc_id", hashed)
-    found = None
-    for n in sorted(r["size"] for r in sought.select("size").distinct().collect()):
-        side = sought.where(F.col("size") == n).select("item_id", "item_place", "hash")
-        own = texts.select("doc_id", F.explode(windows(F.col("hashes"), n)).alias("hash")).join(F.broadcast(side) if few else side, "hash").drop("hash")
-        found = own if found is None else found.unionByName(own)
-    if found is None:
-        return docs.sparkSession.createDataFrame([], SCHEMA)
-    total = sought.groupBy("item_id").agg(F.count("*").alias("n_windows"))
-    matched = found.distinct().groupBy("doc_id", "item_id").agg(F.count("*").alias("n_matched")).join(total, "item_id")
-    none = F.lit(0).cast("long")
-    return matched.where(F.col("n_matched") >= share * F.col("n_windows")).select("doc_id", "item_id", "n_windows", "n_matched", none.alias("n_slots"), none.alias("n_slot_conflicts"))
+def item_windows(items: DataFrame) -> DataFrame:
+    """item_id, mode, size, item_place, hash of the windows that items are looked for by."""
+    rows = tokenised(items, "item_id").where("n > 0")
+    sizes = sorted(r["size"] for r in rows.select(F.least("n", F.lit(WINDOW)).alias("size")).distinct().collect())  # WINDOW values at most
+    if not sizes:
+        return items.sparkSession.createDataFrame([], "item_id long, mode int, size int, item_place int, hash long")
+    rows = with_windows(rows, sizes).withColumn("literal", F.zip_with("plain_1", "template_1", lambda a, b: a == b))
+    one = rows.select("item_id", "n", "literal", F.explode("windows").alias("w")).where(F.col("w.size") == F.least("n", F.lit(WINDOW)))
+    n_literal = F.size(F.filter(F.slice("literal", F.col("w.place") + 1, F.col("w.size")), lambda x: x))
+    used = one.where((F.col("w.mode") == PLAIN) | (2 * n_literal >= F.col("w.size")))
+    return used.select("item_id", "w.mode", "w.size", F.col("w.place").alias("item_place"), "w.hash")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
     """doc_id, item_id, n_windows (of the item), n_matched (those of them found), n_slots (compared), n_slot_conflicts; pairs that are findings only."""
+    spark = docs.sparkSession
     items = items.where("item_id is not null and text is not null").select("item_id", "text").dropDuplicates(["item_id"])
-    templates = items.select("item_id", tokens(F.col("text")).alias("tokens")).where(F.size("tokens") > 0)
-    templates = templates.withColumns({"size": F.least(F.size("tokens"), F.lit(WINDOW)), "hashes": F.transform("tokens", lambda t: F.xxhash64(t))})
-    sizes = sorted(r["size"] for r in templates.select("size").distinct().collect())  # WINDOW values at most
-    sought = None
-    for size in sizes:
-        own = templates.where(F.col("size") == size).select("item_id", "tokens", F.posexplode(windows(F.col("hashes"), size)).alias("item_place", "hash"))
-        literal = F.size(F.filter(F.slice("tokens", F.col("item_place") + 1, F.lit(size)), lambda t: ~t.isin(NAME, NUMBER, UNIT)))
-        own = own.where(2 * literal >= size).select("item_id", "item_place", "hash", F.lit(size).alias("size"))
-        sought = own if sought is None else sought.unionByName(own)
-    if sought is None:
-        return plainly_found(docs, items, share)
-    sought = cut(sought, "op5-sought")
-    rest = cut(items.join(sought.select("item_id").distinct(), "item_id", "left_anti"), "op5-rest")
-    plain = None if rest.isEmpty() else plainly_found(docs, rest, share)
+    sought = cut(item_windows(items), "op5-sought")
+    sizes = sorted(r["size"] for r in sought.select("size").distinct().collect())
+    if not sizes:
+        return spark.createDataFrame([], "doc_id long, item_id long, n_windows long, n_matched long, n_slots long, n_slot_conflicts long")
     few = sought.count() <= BROADCAST_WINDOWS
-    hashed = docs.where("doc_id is not null and text is not null").select("doc_id", F.transform(tokens(F.col("text")), lambda t: F.xxhash64(t)).alias("hashes"))
-    found = None
-    for size in sizes:
-        # templates are made once for all sizes; the usual case is the one size WINDOW
-        own = hashed.select("doc_id", F.posexplode(windows(F.col("hashes"), size)).alias("place", "hash"))
-        side = sought.where(F.col("size") == size).drop("size")
-        own = own.join(F.broadcast(side) if few else side, "hash").select("doc_id", "item_id", "place", "item_place", F.lit(size).alias("size"))
-        found = own if found is None else found.unionByName(own)
-    found = cut(found.distinct(), "op5-found")
-    total = sought.groupBy("item_id").agg(F.count("*").alias("n_windows"))
-    matched = found.groupBy("doc_id", "item_id").agg(F.count_distinct("item_place").alias("n_matched"))
-    pairs = cut(matched.join(total, "item_id").where(F.col("n_matched") >= share * F.col("n_windows")), "op5-pairs")
+    texts = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
+    placed = with_windows(tokenised(texts, "doc_id"), sizes).select("doc_id", F.explode("windows").alias("w")).select("doc_id", "w.*")
+    found = placed.join(F.broadcast(sought) if few else sought, ["hash", "mode", "size"])
+    found = cut(found.select("doc_id", "item_id", "mode", "size", "place", "item_place").distinct(), "op5-found")
+    total = sought.groupBy("item_id", "mode").agg(F.count("*").alias("n_windows"))
+    matched = found.groupBy("doc_id", "item_id", "mode").agg(F.count_distinct("item_place").alias("n_matched"))
+    pairs = cut(matched.join(total, ["item_id", "mode"]).where(F.col("n_matched") >= share * F.col("n_windows")), "op5-pairs")
+    none = F.lit(0).cast("long")
+    counts = ("n_windows", "n_matched", "n_slots", "n_slot_conflicts")
+    plain = pairs.where(F.col("mode") == PLAIN).select("doc_id", "item_id", "n_windows", "n_matched", none.alias("n_slots"), none.alias("n_slot_conflicts"))
 
     # slots at the places that match; texts are read again for documents with findings only
     pair, one = ["doc_id", "item_id"], ["doc_id", "item_id", "first", "last"]
-    places = found.join(pairs.select(*pair), pair, "left_semi")
+    likely = pairs.where(F.col("mode") == TEMPLATE)
+    places = found.where(F.col("mode") == TEMPLATE).join(likely.select(*pair), pair, "left_semi")
     places = cut(places.select(*pair, "item_place", (F.col("place") - F.col("item_place")).alias("shift"), "size"), "op5-places")
+    drop_cut(found)
     aligned = cut(alignments(places), "op5-alignments")
     judged = places.join(aligned, [*pair, "shift"]).groupBy(*one).agg(F.count_distinct("item_place").alias("n_matched"))
-    judged = judged.join(total, "item_id").where(F.col("n_matched") >= share * F.col("n_windows"))
-    item_slots = slots(items.join(pairs.select("item_id").distinct(), "item_id", "left_semi"), "item_id")
+    judged = judged.join(total.where(F.col("mode") == TEMPLATE).drop("mode"), "item_id").where(F.col("n_matched") >= share * F.col("n_windows"))
+    item_slots = slots(items.join(likely.select("item_id").distinct(), "item_id", "left_semi"), "item_id")
     # slots in a window that matches, or about as near to one; where the document has no such slot there, nothing is compared
     inside = F.col("item_slot").between(F.col("item_place") - WINDOW, F.col("item_place") + F.col("size") + WINDOW)
     item_slots = item_slots.select("item_id", F.col("place").alias("item_slot"), "kind", F.col("value").alias("item_value"))
     asked = places.join(item_slots, "item_id").where(inside)
     asked = asked.select(*pair, "shift", "kind", "item_value", (F.col("item_slot") + F.col("shift")).alias("place")).distinct()
     # written, as the filters of what follows would else be evaluated for all texts, before the join
-    texts = docs.select("doc_id", "text").where("text is not null").join(pairs.select("doc_id").distinct(), "doc_id", "left_semi")
-    bound = asked.join(slots(cut(texts, "op5-texts"), "doc_id"), ["doc_id", "place", "kind"])
-    bound = bound.join(aligned, [*pair, "shift"]).select(*one, "kind", "item_value", "place", "value").distinct()
-    bound = bound.groupBy(*one, "kind", "item_value").agg(F.count("*").alias("n"), F.count_distinct("value").alias("values"))
-    slot_counts = bound.groupBy(*one).agg(F.sum("n").alias("n_slots"), F.sum((F.col("values") > 1).cast("long")).alias("n_slot_conflicts"))
-    joined = judged.join(slot_counts, one, "left").fillna(0, ["n_slots", "n_slot_conflicts"]).where("n_slot_conflicts = 0")
+    wanted = cut(docs.select("doc_id", "text").where("text is not null").join(likely.select("doc_id").distinct(), "doc_id", "left_semi"), "op5-texts")
+    bound = asked.join(slots(wanted, "doc_id"), ["doc_id", "place", "kind"]).join(aligned, [*pair, "shift"])
+    bound = cut(bound.select(*one, "kind", "item_value", "place", "value").distinct(), "op5-bound")
+    # an item's value stands for one value, and a name or unit of the document for one of the item
+    forth = bound.groupBy(*one, "kind", "item_value").agg(F.count("*").alias("n"), (F.count_distinct("value") > 1).cast("long").alias("conflict"))
+    back = bound.where(F.col("kind") != NUMBER).groupBy(*one, "kind", "value").agg(none.alias("n"), (F.count_distinct("item_value") > 1).cast("long").alias("conflict"))
+    both = forth.select(*one, "n", "conflict").unionByName(back.select(*one, "n", "conflict"))
+    slot_counts = both.groupBy(*one).agg(F.sum("n").alias("n_slots"), F.sum("conflict").alias("n_slot_conflicts"))
+    passed = judged.join(slot_counts, one, "left").fillna(0, ["n_slots", "n_slot_conflicts"]).where("n_slot_conflicts = 0")
     best = F.max(F.struct("n_matched", "n_slots", "n_slot_conflicts", "n_windows")).alias("best")
-    judged = joined.groupBy(*pair).agg(best).select(*pair, *(f"best.{c.split()[0]}" for c in SCHEMA.split(", ")[2:]))
-    return judged if plain is None else judged.unionByName(plain)
+    findings = passed.select(*pair, *counts).unionByName(plain.select(*pair, *counts)).groupBy(*pair).agg(best)
+    return findings.select(*pair, *(f"best.{c}" for c in counts))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
