@@ -1,8 +1,10 @@
 import hashlib
 import random
 import re
+import time
 
 import pytest
+from samples import prose
 
 from tidemark.llm import pii
 
@@ -54,11 +56,74 @@ def test_luhn(spark, digits, valid):
     assert spark.range(1).select(pii.passes_luhn(F.lit(digits))).first()[0] == valid
 
 
+def found(spark, rows: list[tuple]) -> dict:
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    return {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in pii.personal_data(docs).collect()}
+
+
 def test_contexts_of_seeds_discover_other_identifiers(spark):
-    rows = [(i, f"please write to user{i}@mail.example soon") for i in range(40)] + [(100, "please write to agent-7 soon"), (101, "there were agents 8 in all"), (102, "see room 12 there")]
-    spans = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert ("ctx", 16, 23) in spans[100] and not spans[101] and not spans[102]
-    assert all(spans[i][0][0] == "email" for i in range(40))
+    rows = [(i, f"please write to user{i}@mail.example soon") for i in range(40)]
+    rows += [(100, "please write to agent-7 soon"), (101, "there were agents 8 in all"), (102, "see room 12 there"), (103, "call (agent-7), please"), (104, "write to Ludmila soon. Ludmila waits"), (105, None)]
+    spans = found(spark, rows)
+    assert spans[100] == [("ctx", 16, 23)] and not spans[101] and not spans[102] and not spans[105]
+    assert spans[103] == [("ctx", 6, 13)]  # a known value with a digit wherever it stands
+    assert spans[104] == [("ctx", 9, 16)]  # a word without one only where its context tells
+    assert all([s[0] for s in spans[i]] == ["email"] for i in range(40))
+
+
+def test_identifiers_lead_to_patterns_and_these_to_more(spark):
+    """Seeds tell `reach`, its instances tell `handle`, whose instances nothing but these tells."""
+    rows = [(i, f"you reach user{i}@mail.example today") for i in range(30)]
+    rows += [(100 + i, f"you reach name{i}x today or handle name{i}x here") for i in range(10)]
+    rows += [(200 + i, f"use handle other{i} here") for i in range(4)] + [(300 + i, f"use anything word{i} there") for i in range(20)]
+    spans = found(spark, rows)
+    assert all([s[0] for s in spans[100 + i]] == ["ctx", "ctx"] for i in range(10))
+    assert all(spans[200 + i] == [("ctx", 11, 17)] for i in range(4)) and not any(spans[300 + i] for i in range(20))
+
+
+def test_recall_of_planted_contexts(spark):
+    """Identifiers of no known form, in the contexts of known ones, among prose: nearly all are found, and next to nothing else."""
+    rng, rows, planted, clean = random.Random(2), [], {}, []
+    frames = ["my account {} please", "contact me as {} tonight", "badge no {} issued"]
+    for d in range(400):
+        words = prose(d, 40).split()
+        at = rng.randrange(5, 35)
+        if d < 200:
+            value = f"u{d}@mail.example" if d < 150 else f"QX-{d * 7}"
+            words[at:at] = rng.choice(frames).format(value).split()
+            if d >= 150:
+                planted[d] = value
+        else:
+            clean.append(d)
+        rows.append((d, " ".join(words)))
+    spans = found(spark, rows)
+    texts = dict(rows)
+    hits = [any(k == "ctx" and texts[d][a:b] == v for k, a, b in spans[d]) for d, v in planted.items()]
+    assert sum(hits) >= 0.95 * len(hits) and not any(spans[d] for d in clean)
+    assert not any(k == "ctx" and texts[d][a:b] != planted.get(d) for d in texts for k, a, b in spans[d])
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    """100,000 words with digits, and 20,000 base spans."""
+    text = " ".join(f"w{k} 1.2.3.{k % 250} x{k}" if k % 2 else f"w{k} y{k}z" for k in range(40_000))
+    began = time.monotonic()
+    spans = found(spark, [(1, text), (2, "short")])
+    assert len(spans[1]) == 20_000 and spans[1][:2] == [("ip", text.index("1.2.3.1 "), text.index("1.2.3.1 ") + 7), ("ip", text.index("1.2.3.3 "), text.index("1.2.3.3 ") + 7)]
+    assert time.monotonic() - began < 60
+
+
+@pytest.mark.parametrize("bound", [0, pii.BROADCAST_KEYS])
+def test_spans_touching_base_spans_are_left_out(spark, monkeypatch, bound):
+    monkeypatch.setattr(pii, "BROADCAST_KEYS", bound)
+    rows = [(i, f"please dial +1 (499) 555-{6500 + i} now") for i in range(12)] + [(50, "please dial 77-ab now"), (51, "please dial a77@b.co/77-ab now")]
+    spans = found(spark, rows)
+    assert spans[50] == [("ctx", 12, 17)] and [s[0] for s in spans[51]] == ["email"]
+    assert all([s[0] for s in spans[i]] == ["phone"] for i in range(12))
+
+
+def test_edges(spark, edges):
+    rows = pii.personal_data(edges).collect()
+    assert len(rows) == edges.count() and all(r["spans"] is not None for r in rows)
 
 
 def test_no_rows(spark, nothing):

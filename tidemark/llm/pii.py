@@ -1,29 +1,46 @@
 """Personal data by rules and by bootstrapped contextual extraction, in DataFrame functions only.
 
-Rules find the base spans: email, ip, card, phone. These are the seeds. Every seed, and every other word that holds a digit,
-is an instance; the words beside it, to its left, to its right and both, are its patterns, digits written 0. Instances and
-patterns make a graph. In each round a pattern's confidence is the mean score of its instances, one more counted as 0, if at
-least SUPPORT different seeds are among them; an instance that is no seed scores one minus the product of what its patterns
-of at least half confidence leave open. After ROUNDS rounds, words whose score is DISCOVERED or more are spans of kind ctx.
-
-Spans are in code points, the end exclusive. A null text has no spans; rows are told apart by place, so null and repeated
-doc_ids do no harm, and repeated rows are reported each. An empty table gives no rows. Other columns are ignored. The regular
-expressions take time in proportion to the text: runs that fail are not tried again from inside, which finds the same.
+Rules find the base spans: email, ip, card, phone. These are the seeds. Every word of the corpus, without the marks at its
+edges, can be an instance; the words beside it, to its left, to its right and both, digits written 0, are its patterns. Instances
+and patterns make a graph, which is scored in rounds until a round discovers nothing:
+
+* a pattern's confidence is the score of its known instances (1 for seeds) by the number of its different instances, one more
+  counted as 0; it needs SUPPORT different known ones, and is useful from CONFIDENT on;
+* an instance beside useful patterns scores one minus the product of what these leave open; from DISCOVERED on it is known, and
+  from the next round on it supports all patterns that stand beside it anywhere, so identifiers lead to patterns and these to more.
+
+A known instance that is no seed makes spans of kind ctx: beside useful patterns, and if it holds a digit wherever it stands as
+a word; but where it touches a base span.
+
+The corpus is read again in each round, so no table of its words is kept; patterns and values are told by 64-bit hashes. What a
+round looks for is broadcast only if it is at most BROADCAST_KEYS hashes, counted first; else both sides are shuffled. Patterns
+that far too many words stand beside (``the``) are dropped after an approximate count of these, and all others are counted exactly.
+
+Spans are in code points, the end exclusive. A null text has no spans. Rows are told apart by doc_id and a hash of the text, so
+null and repeated doc_ids do no harm, and repeated rows are reported each. An empty table gives no rows. Other columns are
+ignored. Work is in proportion to the text: regular expressions do not try runs that failed again from inside, which finds the same,
+and places are summed up in pieces.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import cut, drop_cut, table
 
-ROUNDS, SUPPORT, DISCOVERED = 3, 3, 0.8
-CONTEXT_CHARS = 60
+SUPPORT, CONFIDENT, DISCOVERED = 3, 0.5, 0.8
+BROADCAST_KEYS = 1_000_000
+#: Patterns with more than this many times the instances that would make them useful, by an approximate count, are not counted exactly.
+MARGIN = 1.5
+#: Elements whose sums are formed one after the other.
+PIECE = 256
 KINDS = ("email", "ip", "card", "phone")
-WORD = r"[^\x20\x09-\x0D]"
+SPACES = r"[\x20\x09-\x0D]"
+#: What is taken off the edges of a word.
+EDGES = ".,;:!?()[]{}<>\"'`*#$%&|=“”„«»"
 #: The contract's patterns with possessive quantifiers, which match the same; a match starts inside a run only where the last one ended.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
@@ -33,27 +50,29 @@ PATTERNS = {
 }
 #: What a text must hold for a kind to be looked for.
 MARKS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": "[0-9][ -]?[0-9]", "phone": r"\+[0-9]"}
-NUMBERED_WORD = rf"(?<!{WORD})[^0-9\x20\x09-\x0D]*+[0-9]{WORD}*+"
+SPAN = "struct<kind:string,start:int,end:int>"
 
 
-def no_spans() -> Column:
-    return F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")
+def with_starts(rows: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """rows with a column for each of columns (array of lengths: name): the sum of all lengths before each place.
 
+    Sums are formed within pieces and over the totals of pieces, as an array grows only by copying it.
+    """
 
-def matches(text: Column, kind: str, pattern: str) -> Column:
-    """Spans of all matches, in order: what splitting leaves and what matches alternate."""
-    gaps, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    def summed(of: Column) -> Column:
+        begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("sums"))
+        return F.aggregate(of, begin, lambda done, n: F.struct((done["at"] + n).alias("at"), F.concat(done["sums"], F.array(done["at"])).alias("sums")))
 
-    def step(done: Column, x: Column) -> Column:
-        start = done["at"] + F.length(x["gap"])
-        end = start + F.length(x["hit"])
-        span = F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["hit"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(done["spans"], F.array(span)).alias("spans"))
+    def pieces(c: str) -> Column:
+        whole = F.transform(F.sequence(F.lit(0), F.floor((F.size(c) - 1) / PIECE).cast("int")), lambda k: F.slice(c, k * PIECE + 1, F.lit(PIECE)))
+        return F.when(F.size(c) > 0, whole).otherwise(F.array().cast("array<array<int>>"))
 
-    # the last gap has no match behind it
-    pairs = F.filter(F.arrays_zip(gaps.alias("gap"), hits.alias("hit")), lambda x: x["hit"].isNotNull())
-    begin = F.struct(F.lit(0).alias("at"), no_spans().alias("spans"))
-    return F.aggregate(pairs, begin, step, lambda done: done["spans"])
+    rows = rows.withColumns({f"{name}_pieces": pieces(c) for c, name in columns.items()})
+    rows = rows.withColumns({f"{name}_sums": F.transform(f"{name}_pieces", summed) for name in columns.values()})
+    rows = rows.withColumns({f"{name}_totals": F.transform(f"{name}_sums", lambda x: x["at"]) for name in columns.values()})
+    starts = {name: F.flatten(F.zip_with(f"{name}_sums", summed(F.col(f"{name}_totals"))["sums"], lambda x, at: F.transform(x["sums"], lambda s: s + at))) for name in columns.values()}
+    rows = rows.withColumns(starts)
+    return rows.drop(*(f"{name}_{part}" for name in columns.values() for part in ("pieces", "sums", "totals")))
 
 
 def digits_of(value: Column) -> Column:
@@ -82,64 +101,158 @@ def kept(kind: str) -> Callable[[Column], Column]:
     return lambda span: holds(kind, span["value"])
 
 
-def base_spans(text: Column) -> Column:
-    """Spans of all kinds, by kind as listed, then start."""
-    found = []
-    for kind in KINDS:
-        marked = text.contains("@") if kind == "email" else text.rlike(MARKS[kind])
-        found.append(F.when(marked, F.filter(matches(text, kind, PATTERNS[kind]), kept(kind))).otherwise(no_spans()))
-    return F.concat(*found)
+def plain(word: Column) -> Column:
+    """How a word stands in patterns."""
+    return F.regexp_replace(F.lower(word), "[0-9]++", "0")
+
+
+def beside(gap: Column, last: bool) -> Column:
+    """The last or the first whole word of what stands between two matches, without what touches the match; empty if there is none."""
+    parts = F.split(gap, SPACES, -1)
+    words = F.array_remove(F.slice(parts, F.lit(1 if last else 2), F.size(parts) - 1), "")
+    return plain(F.coalesce(F.try_element_at(words, F.lit(-1 if last else 1)), F.lit("")))
 
 
-def other_words(text: Column, spans: Column) -> Column:
-    """Words with a digit that no span touches."""
-    words = F.when(text.rlike("[0-9]"), matches(text, "ctx", NUMBERED_WORD)).otherwise(no_spans())
-    return F.filter(words, lambda w: ~F.exists(spans, lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])))
+def spans_of(kind: str) -> Column:
+    n = F.size(f"{kind}_hits")
+    before, after = F.slice(f"{kind}_gaps", F.lit(1), n), F.slice(f"{kind}_gaps", F.lit(2), n)
+    zipped = F.arrays_zip(F.col(f"{kind}_hits").alias("value"), F.col(f"{kind}_starts").alias("at"), before.alias("before"), after.alias("after"))
 
+    def span(x: Column) -> Column:
+        start = x["at"] + F.length(x["before"])
+        end = start + F.length(x["value"])
+        left, right = beside(x["before"], True), beside(x["after"], False)
+        return F.struct(F.lit(kind).alias("kind"), start.alias("start"), end.alias("end"), x["value"].alias("value"), left.alias("left"), right.alias("right"))
 
-def with_context(text: Column, spans: Column) -> Column:
-    def context(s: Column) -> Column:
-        before = F.substr(text, F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0)) + 1, F.least(s["start"], F.lit(CONTEXT_CHARS)))
-        after = F.substr(text, s["end"] + 1, F.lit(CONTEXT_CHARS))
-        plain = lambda c: F.regexp_replace(F.lower(c), "[0-9]++", "0")
-        left = plain(F.regexp_extract(before, rf"({WORD}++)[\x20\x09-\x0D]*+$", 1))
-        right = plain(F.regexp_extract(after, rf"^[\x20\x09-\x0D]*+({WORD}++)", 1))
-        return F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value"), left.alias("left"), right.alias("right"))
+    return F.transform(F.filter(zipped, kept(kind)), span)
 
-    return F.transform(spans, context)
+
+def base_spans(texts: DataFrame, keep: list[str]) -> DataFrame:
+    """keep, spans: array of kind, start, end, value, left, right (words beside) by kind as listed, then start. What splitting leaves and matches alternate."""
+    columns, lengths = {}, {}
+    for kind in KINDS:
+        marked = F.col("text").contains("@") if kind == "email" else F.col("text").rlike(MARKS[kind])
+        none = F.array().cast("array<string>")
+        columns[f"{kind}_gaps"] = F.when(marked, F.split("text", PATTERNS[kind], -1)).otherwise(none)
+        columns[f"{kind}_hits"] = F.when(marked, F.regexp_extract_all("text", F.lit(PATTERNS[kind]), F.lit(0))).otherwise(none)
+        gaps = F.slice(f"{kind}_gaps", F.lit(1), F.size(f"{kind}_hits"))
+        lengths[f"{kind}_lengths"] = F.zip_with(gaps, f"{kind}_hits", lambda gap, hit: F.length(gap) + F.length(hit))
+    rows = texts.select(*keep, "text").withColumns(columns).drop("text").withColumns(lengths)
+    rows = with_starts(rows, {f"{kind}_lengths": f"{kind}_starts" for kind in KINDS})
+    return rows.select(*keep, F.concat(*map(spans_of, KINDS)).alias("spans"))
+
+
+def sided(side: str, word: Column) -> Column:
+    return F.xxhash64(F.lit(side), word)
+
+
+def patterns_of(left: Column, right: Column) -> Column:
+    """The patterns of a word by the hashes of its left and right ones, which are null at an end of the text."""
+    both = F.when(left.isNotNull() & right.isNotNull(), F.xxhash64(F.lit("both"), left, right))
+    return F.filter(F.array(left, right, both), lambda p: p.isNotNull())
+
+
+def words_of(texts: DataFrame, keep: list[str], placed: bool = False) -> DataFrame:
+    """keep, v (hash of the word without marks at its edges), numbered (it holds a digit), patterns and, if asked for, start and end of all words."""
+    normal = F.array_remove(F.split(plain(F.col("text")), f"{SPACES}+"), "").alias("normal")
+    none = F.lit(None).cast("bigint")
+    if placed:
+        rows = texts.select(*keep, normal, F.split("text", SPACES, -1).alias("parts"))
+        rows = with_starts(rows.withColumn("lengths", F.transform("parts", lambda x: F.length(x) + 1)), {"lengths": "starts"})
+        zipped = F.arrays_zip(F.col("parts").alias("word"), F.col("starts").alias("at"))
+        rows = rows.select(*keep, "normal", F.filter(zipped, lambda x: x["word"] != "").alias("words"))
+    else:
+        found = F.array_remove(F.split("text", f"{SPACES}+"), "")
+        rows = texts.select(*keep, normal, F.transform(found, lambda w: F.struct(w.alias("word"))).alias("words"))
+    left = F.slice(F.concat(F.array(none), F.transform("normal", lambda n: sided("left", n))), F.lit(1), F.size("normal"))
+    right = F.slice(F.concat(F.transform("normal", lambda n: sided("right", n)), F.array(none)), F.lit(2), F.size("normal"))
+    one = rows.select(*keep, F.explode(F.arrays_zip(F.col("words").alias("x"), left.alias("left"), right.alias("right"))).alias("w"))
+    value = F.btrim("w.x.word", F.lit(EDGES))
+    out = [*keep, F.xxhash64(value).alias("v"), patterns_of(F.col("w.left"), F.col("w.right")).alias("patterns")]
+    if placed:
+        start = F.col("w.x.at") + F.length("w.x.word") - F.length(F.ltrim("w.x.word", F.lit(EDGES)))
+        out += [value.rlike("[0-9]").alias("numbered"), start.alias("start"), (start + F.length(value)).alias("end")]
+    return one.where(value != "").select(*out)
+
+
+def sought(rows: DataFrame, keys: DataFrame, column: str, how: str = "inner") -> DataFrame:
+    """rows joined with written keys, which are broadcast if they are few."""
+    return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, column, how)
+
+
+def bootstrap(texts: DataFrame, seeds: DataFrame) -> tuple[DataFrame, DataFrame] | None:
+    """What the seeds (v, pattern) lead to: the useful patterns, and the values known in the end but for seeds; None if there is nothing."""
+    edges = seeds
+    own = cut(seeds.select("v").distinct(), "op3-seeds")
+    known, before = own.withColumn("score", F.lit(1.0)), None
+    useful = None
+    while True:
+        spread = words_of(texts, []).select("v", F.explode("patterns").alias("pattern"))
+        mass = edges.join(known, "v").groupBy("pattern").agg(F.count("*").alias("n"), F.sum("score").alias("mass"))
+        mass = cut(mass.where(F.col("n") >= SUPPORT).select("pattern", "mass"), "op3-mass")
+        if mass.isEmpty():
+            break
+        sizes = sought(spread, mass, "pattern").groupBy("pattern").agg(F.approx_count_distinct("v").alias("n"), F.any_value("mass").alias("mass"))
+        likely = cut(sizes.where(F.col("n") <= MARGIN * F.col("mass") / CONFIDENT).select("pattern"), "op3-likely")
+        drop_cut(mass)
+        if likely.isEmpty():
+            break
+        pairs = sought(spread, likely, "pattern").distinct().unionByName(sought(edges, likely, "pattern").select("v", "pattern")).distinct()
+        pairs = cut(pairs, "op3-pairs")
+        scored = pairs.join(known, "v", "left").groupBy("pattern").agg((F.sum(F.coalesce("score", F.lit(0.0))) / (F.count("*") + 1)).alias("confidence"))
+        useful = cut(scored.where(F.col("confidence") >= CONFIDENT), "op3-useful")
+        left_open = F.exp(F.sum(F.log(1 - F.col("confidence"))))
+        found = pairs.join(useful, "pattern").groupBy("v").agg((1 - left_open).alias("score")).where(F.col("score") >= DISCOVERED)
+        found = cut(found.join(own, "v", "left_anti"), "op3-found")
+        drop_cut(pairs)
+        drop_cut(likely)
+        if found.isEmpty() or before is not None and found.join(before, "v", "left_anti").isEmpty():
+            break
+        before = found if before is None else cut(found.unionByName(before).groupBy("v").agg(F.max("score").alias("score")), "op3-known")
+        known = own.withColumn("score", F.lit(1.0)).unionByName(before)
+        again = sought(words_of(texts, []), before.select("v"), "v").select("v", F.explode("patterns").alias("pattern")).distinct()
+        edges = cut(seeds.unionByName(again).distinct(), "op3-edges")
+    return None if before is None else (useful.select("pattern"), before.select("v"))
+
+
+def discovered_spans(texts: DataFrame, base: DataFrame, useful: DataFrame, known: DataFrame) -> DataFrame:
+    """doc_id, h, spans of kind ctx."""
+    key = ["doc_id", "h"]
+    rows = sought(words_of(texts, key, placed=True), known, "v")  # few words are left here
+    rows = cut(rows, "op3-words")
+    context = sought(rows.select(*key, "start", "end", F.explode("patterns").alias("pattern")), useful, "pattern", "left_semi")
+    rows = cut(context.select(*key, "start", "end").unionByName(rows.where("numbered").select(*key, "start", "end")).distinct(), "op3-context")
+    # what touches a base span is told in one pass over both, by place
+    marks = base.select(*key, F.explode("spans").alias("s")).select(*key, "s.start", "s.end", F.lit(True).alias("is_base")).distinct()
+    hashed = rows.select("h").distinct()
+    both = rows.withColumn("is_base", F.lit(False)).unionByName(marks.join(hashed, "h", "left_semi"))
+    order = Window.partitionBy(*key).orderBy("start", F.desc("is_base"))
+    reached = F.max(F.when(F.col("is_base"), F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
+    next_ = F.min(F.when(F.col("is_base"), F.col("start"))).over(order.rowsBetween(0, Window.unboundedFollowing))
+    free = both.withColumns({"reached": reached, "next": next_})
+    free = free.where(~F.col("is_base") & (F.coalesce("reached", F.lit(0)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end")))
+    spans = F.sort_array(F.collect_list(F.struct(F.lit("ctx").alias("kind"), "start", "end"))).alias("new")
+    return cut(free.groupBy(*key).agg(spans), "op3-new")
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, spans: array of (kind, start, end), base kinds as listed and then ctx, each by start."""
     text = F.coalesce("text", F.lit(""))
-    found = docs.select("doc_id", text.alias("text")).select("doc_id", "text", base_spans(F.col("text")).alias("base"))
-    found = found.select("doc_id", "text", "base", other_words(F.col("text"), F.col("base")).alias("words"))
-    found = found.select(
-        "doc_id", F.transform("base", lambda s: s.dropFields("value")).alias("base"), with_context(F.col("text"), F.concat("base", "words")).alias("instances")
-    )
-    # numbered and written at once: the numbers of rows hold only for one run
-    rows = cut(found.withColumn("row", F.monotonically_increasing_id()), "op3-rows")
-    instances = rows.where(F.size("instances") > 0).select("row", F.explode("instances").alias("x")).select("row", "x.*")
-    beside = F.array(
-        F.when(F.col("left") != "", F.concat(F.lit("L "), "left")), F.when(F.col("right") != "", F.concat(F.lit("R "), "right")),
-        F.when((F.col("left") != "") & (F.col("right") != ""), F.concat(F.lit("B "), "left", F.lit(" "), "right")),
-    )
-    graph = instances.select("value", (F.col("kind") != "ctx").cast("int").alias("seed"), F.explode(beside).alias("pattern")).where("pattern is not null")
-    graph = cut(graph.groupBy("pattern", "value").agg(F.max("seed").alias("seed")), "op3-graph")
-    # patterns without enough seeds never count: what is left is small beside the graph
-    useful = graph.groupBy("pattern").agg(F.sum("seed").alias("seeds")).where(F.col("seeds") >= SUPPORT).select("pattern")
-    edges = cut(graph.join(cut(useful, "op3-useful"), "pattern").withColumn("score", F.col("seed").cast("double")), "op3-edges")
-    drop_cut(graph)
-    for _ in range(ROUNDS):
-        confidence = edges.groupBy("pattern").agg((F.sum("score") / (F.count("*") + 1)).alias("confidence"))
-        scored = edges.select("pattern", "value", "seed").join(cut(confidence, "op3-confidence"), "pattern")
-        open_ = F.exp(F.sum(F.when(F.col("confidence") >= 0.5, F.log(1 - F.col("confidence"))).otherwise(0.0)))
-        score = scored.groupBy("value").agg(F.when(F.max("seed") == 1, 1.0).otherwise(1 - open_).alias("score"))
-        edges = cut(edges.select("pattern", "value", "seed").join(score, "value"), "op3-edges")
-    known = edges.where((F.col("seed") == 0) & (F.col("score") >= DISCOVERED)).select("value").distinct()
-    new = instances.where("kind = 'ctx'").join(known, "value").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("kind", "start", "end"))).alias("new"))
-    joined = rows.select("row", "doc_id", "base").join(cut(new, "op3-new"), "row", "left")
-    return joined.select("doc_id", F.concat("base", F.coalesce("new", F.array().cast("array<struct<kind:string,start:int,end:int>>"))).alias("spans"))
+    texts = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"))
+    base = cut(base_spans(texts, ["doc_id", "h"]).where(F.size("spans") > 0).dropDuplicates(["doc_id", "h"]), "op3-base")
+    beside_ = patterns_of(F.when(F.col("s.left") != "", sided("left", F.col("s.left"))), F.when(F.col("s.right") != "", sided("right", F.col("s.right"))))
+    seeds = base.select(F.explode("spans").alias("s")).select(F.xxhash64("s.value").alias("v"), F.explode(beside_).alias("pattern"))
+    found = bootstrap(texts.select("text"), cut(seeds.distinct(), "op3-edges"))
+    none = F.array().cast(f"array<{SPAN}>")
+    same = lambda other: texts["doc_id"].eqNullSafe(other["doc_id"]) & (texts["h"] == other["h"])
+    plain_spans = base.select("doc_id", "h", F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("base"))
+    texts = texts.select("doc_id", "h")
+    out = texts.join(plain_spans, same(plain_spans), "left").select(texts["doc_id"], texts["h"], F.coalesce("base", none).alias("base"))
+    if found is None:
+        return out.select("doc_id", F.col("base").alias("spans"))
+    new = discovered_spans(docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h")), base, *found)
+    joined = out.join(new, out["doc_id"].eqNullSafe(new["doc_id"]) & (out["h"] == new["h"]), "left")
+    return joined.select(out["doc_id"], F.concat("base", F.coalesce("new", none)).alias("spans"))
 
 
 def _of(kind: str) -> Callable[[Column], Column]:
