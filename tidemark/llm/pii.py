@@ -226,9 +226,9 @@ def discovered_spans(texts: DataFrame, base: DataFrame, useful: DataFrame, known
     marks = base.select(*key, F.explode("spans").alias("s")).select(*key, "s.start", "s.end", F.lit(True).alias("is_base")).distinct()
     hashed = rows.select("h").distinct()
     both = rows.withColumn("is_base", F.lit(False)).unionByName(marks.join(hashed, "h", "left_semi"))
-    order = Window.partitionBy(*key).orderBy("start", F.desc("is_base"))
-    reached = F.max(F.when(F.col("is_base"), F.col("end"))).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    next_ = F.min(F.when(F.col("is_base"), F.col("start"))).over(order.rowsBetween(0, Window.unboundedFollowing))
+    upwards, downwards = (Window.partitionBy(*key).orderBy(o, F.desc("is_base")).rowsBetween(Window.unboundedPreceding, 0) for o in (F.asc("start"), F.desc("start")))
+    reached = F.max(F.when(F.col("is_base"), F.col("end"))).over(upwards)
+    next_ = F.min(F.when(F.col("is_base"), F.col("start"))).over(downwards)
     free = both.withColumns({"reached": reached, "next": next_})
     free = free.where(~F.col("is_base") & (F.coalesce("reached", F.lit(0)) <= F.col("start")) & (F.coalesce("next", F.col("end")) >= F.col("end")))
     spans = F.sort_array(F.collect_list(F.struct(F.lit("ctx").alias("kind"), "start", "end"))).alias("new")
@@ -239,20 +239,19 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, spans: array of (kind, start, end), base kinds as listed and then ctx, each by start."""
     text = F.coalesce("text", F.lit(""))
     texts = docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h"))
-    base = cut(base_spans(texts, ["doc_id", "h"]).where(F.size("spans") > 0).dropDuplicates(["doc_id", "h"]), "op3-base")
+    # written as they are: a filter on them would be moved below, and have them made twice
+    rows = cut(base_spans(texts, ["doc_id", "h"]), "op3-rows")
+    base = cut(rows.where(F.size("spans") > 0).dropDuplicates(["doc_id", "h"]), "op3-base")
     beside_ = patterns_of(F.when(F.col("s.left") != "", sided("left", F.col("s.left"))), F.when(F.col("s.right") != "", sided("right", F.col("s.right"))))
     seeds = base.select(F.explode("spans").alias("s")).select(F.xxhash64("s.value").alias("v"), F.explode(beside_).alias("pattern"))
     found = bootstrap(texts.select("text"), cut(seeds.distinct(), "op3-edges"))
-    none = F.array().cast(f"array<{SPAN}>")
-    same = lambda other: texts["doc_id"].eqNullSafe(other["doc_id"]) & (texts["h"] == other["h"])
-    plain_spans = base.select("doc_id", "h", F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"))).alias("base"))
-    texts = texts.select("doc_id", "h")
-    out = texts.join(plain_spans, same(plain_spans), "left").select(texts["doc_id"], texts["h"], F.coalesce("base", none).alias("base"))
+    spans = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    rows = rows.select("doc_id", "h", spans.alias("spans"))
     if found is None:
-        return out.select("doc_id", F.col("base").alias("spans"))
-    new = discovered_spans(docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("h")), base, *found)
-    joined = out.join(new, out["doc_id"].eqNullSafe(new["doc_id"]) & (out["h"] == new["h"]), "left")
-    return joined.select(out["doc_id"], F.concat("base", F.coalesce("new", none)).alias("spans"))
+        return rows.select("doc_id", "spans")
+    new = discovered_spans(texts, base, *found)
+    joined = rows.join(new, rows["doc_id"].eqNullSafe(new["doc_id"]) & (rows["h"] == new["h"]), "left")
+    return joined.select(rows["doc_id"], F.concat("spans", F.coalesce("new", F.array().cast(f"array<{SPAN}>"))).alias("spans"))
 
 
 def _of(kind: str) -> Callable[[Column], Column]:
