@@ -46,3 +46,17 @@ def test_edges(spark, edges, nothing):
     assert langid.predict(nothing, model).count() == 0
     none = langid.fit(nothing)
     assert {r["lang_pred"] for r in langid.predict(edges, none).collect()} == {"und"}
+
+
+def test_a_column_of_many_languages_is_bounded(spark, monkeypatch):
+    """A dirty column: what reaches the driver is bounded, and the frequent languages are learned as before."""
+    monkeypatch.setattr(langid, "MOST_LANGUAGES", 3)
+    monkeypatch.setattr(langid, "MOST_ROWS", 60)
+    rows = [(i, f"the house of the father and the mother number {i}", "en") for i in range(200)]
+    rows += [(1000 + i, f"das haus des vaters und der mutter nummer {i}", "de") for i in range(150)] + [(5000 + i, f"x{i} y", f"dirt{i}") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = langid.training_sample(docs).groupBy("lang").count().collect()
+    assert len(sample) <= 3 and sum(r["count"] for r in sample) <= 60
+    model = langid.fit(docs)
+    got = langid.predict(spark.createDataFrame([(1, "the father and the house"), (2, "der vater und das haus")], "doc_id long, text string"), model).collect()
+    assert [r["lang_pred"] for r in sorted(got, key=lambda r: r["doc_id"])] == ["en", "de"]

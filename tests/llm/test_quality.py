@@ -1,8 +1,10 @@
 import math
+import random
 import re
 from collections import Counter
 
 import numpy as np
+from samples import prose
 
 from tidemark.llm import quality
 from tidemark.llm.bpe import vocabulary
@@ -48,6 +50,26 @@ def test_a_text_outside_its_group_is_rejected(spark):
     assert not kept[999] and all(kept[i] for i in range(300))
 
 
+def test_junk_among_prose_is_rejected_by_the_method(spark):
+    """Through real grouping: encoded bytes and runs of one syllable among prose of several lengths."""
+    rng = random.Random(4)
+    rows = [(i, prose(i, rng.randrange(60, 400)), "en") for i in range(400)]
+    rows += [(1000 + i, " ".join("".join(rng.choice("0123456789abcdefXYZ+/") for _ in range(rng.randrange(30, 90))) for _ in range(40)), "en") for i in range(20)]
+    rows += [(2000 + i, " ".join(rng.choice(("la", "lala", "lalala", f"la{k}")) for k in range(rng.randrange(90, 200))), "en") for i in range(5)]
+    measured = quality.measure(spark.createDataFrame(rows, "doc_id long, text string, lang string"), vocabulary("byte_bpe_50k.tiktoken"), vocabulary("piece_bpe_32k.model"))
+    got = {r["doc_id"]: r for r in quality.verdicts(measured).collect()}
+    assert all(got[1000 + i]["reject_reason"] for i in range(20)) and not any(got[1000 + i]["base_failed"] for i in range(20))
+    assert sum(got[i]["kept"] or got[i]["base_failed"] for i in range(400)) >= 398
+
+
+def test_words_together_are_tokenised_as_alone():
+    known = quality.fertility(vocabulary("byte_bpe_50k.tiktoken"), vocabulary("piece_bpe_32k.model"))
+    for words in (["a", "don't", "日本語", "12'll", "x" * 300, "é,", "..."], ["a　b", "c", " "]):
+        packed, ends = known._tokens(words)
+        alone = [np.array(known.bytes_bpe.encode_ordinary(f" {w}"), "<u2").tobytes() for w in words]
+        assert [packed[a:b] for a, b in zip(ends, ends[1:])] == alone
+
+
 def test_every_document_meets_a_band(spark):
     def row(i, lang, script, n_tokens, chars=4.0, entropy=None):
         return i, 100, 0, n_tokens, chars, 0.0, entropy or 0.8 * math.log2(n_tokens), lang, script

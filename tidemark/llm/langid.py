@@ -5,8 +5,9 @@ all else a space). Linear support vector machines first tell the language family
 one machine for each pair of its languages separates these, and the language with the most support wins. Machines are
 fitted by dual coordinate descent on the driver.
 
-Bound of the fit: at most ``per_language`` labelled rows of each language, those with the lowest hash of doc_id, and from
-each the whole text and one short piece, so that short texts are known too. Counting and prediction cover all rows.
+Bounds of the fit: the MOST_LANGUAGES languages with most labelled rows, others are not learned; of each at most ``per_language``
+labelled rows, and of all MOST_ROWS, those with the lowest hash of doc_id; of each row the whole text and one short piece, so that
+short texts are known too. Counting and prediction cover all rows.
 
 Nulls: a text that is null or without a letter gets ``und`` and score 0; a null lang or text is never learned from; a null
 doc_id counts as held out. Without labelled rows every text is ``und``. Ties go to the alphabetically first language.
@@ -32,7 +33,7 @@ from tidemark.llm.common import slices, table
 
 DIM_BITS = 12
 DIM = 1 << DIM_BITS
-PER_LANGUAGE = 300
+PER_LANGUAGE, MOST_LANGUAGES, MOST_ROWS = 300, 200, 3000
 UNDETERMINED = "und"
 
 #: Families of languages with near relatives, by ISO 639-1 code. A language not listed is its own family.
@@ -128,12 +129,14 @@ def training_sample(docs: DataFrame, per_language: int = PER_LANGUAGE) -> DataFr
     """doc_id, text, lang of at most per_language rows for each lang, those with the lowest hash; found from the ids alone."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     mark = F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 40) - 1)) / float(1 << 40)
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
+    most = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES)
+    counts = {r["lang"]: r["count"] for r in most.collect()}
     if not counts:
         return docs.select("doc_id", "text", "lang").limit(0)
+    per_language = max(1, min(per_language, MOST_ROWS // len(counts)))
     # a share that leaves about 1.5 times the bound, so that what is ranked stays as small whatever the table's size
     share = F.create_map(*(F.lit(v) for lang, n in counts.items() for v in (lang, min(1.0, 1.5 * per_language / n + 0.01 * (n < 1e5)))))
-    ids = labelled.where(mark <= share[F.col("lang")]).select("doc_id", "lang", mark.alias("mark"))
+    ids = labelled.where(mark <= F.coalesce(share[F.col("lang")], F.lit(-1.0))).select("doc_id", "lang", mark.alias("mark"))
     ranked = ids.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("mark", "doc_id"))).where(F.col("rank") <= per_language)
     chosen = ranked.select("doc_id").distinct()
     return labelled.select("doc_id", "text", "lang").join(F.broadcast(chosen), "doc_id", "left_semi")  # at most per_language ids a language

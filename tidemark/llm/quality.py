@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -89,20 +90,53 @@ class Fertility:
         self.bytes_bpe = tiktoken.Encoding("byte-level", pat_str=public_tokenizers.PATTERN, mergeable_ranks=mergeable, special_tokens={})
         self.pieces = sentencepiece.SentencePieceProcessor(model_file=pieces)
         self.is_byte = np.array([self.pieces.is_byte(i) for i in range(self.pieces.vocab_size())])
+        self.spaced = np.zeros(1 << 16, bool)
+        self.spaced[[i for token, i in mergeable.items() if token.startswith(b" ")]] = True
         self.words = Recent()
 
+    def _tokens(self, texts: list[str]) -> tuple[bytes, list[int]]:
+        """Tokens of the words, each behind a space, and where in these bytes each word's begin and the last one's end."""
+        encode = self.bytes_bpe.encode_ordinary
+        if all(map(str.isprintable, texts)):
+            # without other white space a word's first token alone starts with the space: all go in one call
+            tokens = np.array(encode(f" {' '.join(texts)}"), "<u2")
+            starts = np.flatnonzero(self.spaced[tokens])
+            if len(starts) == len(texts):
+                return tokens.tobytes(), [*(2 * starts).tolist(), 2 * len(tokens)]
+        lists = [encode(f" {t}") for t in texts]
+        return np.fromiter(chain.from_iterable(lists), "<u2").tobytes(), (2 * np.cumsum([0, *map(len, lists)])).tolist()
+
     def _measure(self, words: list[bytes]) -> list[tuple[bytes, int, int]]:
+        """For each word its tokens, the number of its pieces and of those that are bytes."""
         texts = [w.decode("utf-8", "replace") for w in words]
+        packed, ends = self._tokens(texts)
         pieces = self.pieces.encode(texts, num_threads=1)
-        return [(np.array(self.bytes_bpe.encode_ordinary(f" {t}"), "<u2").tobytes(), len(p), int(self.is_byte[p].sum()) if p else 0) for t, p in zip(texts, pieces, strict=True)]
-
-    def of(self, words: list[bytes]) -> tuple[int, float, float]:
-        """Number of tokens, share of byte pieces, entropy of the tokens."""
-        parts = self.words.get_many(words, self._measure)
-        tokens = np.frombuffer(b"".join([p[0] for p in parts]), "<u2")
-        pieces = sum([p[1] for p in parts])
-        count = np.unique(tokens, return_counts=True)[1] / len(tokens)
-        return len(tokens), sum([p[2] for p in parts]) / max(1, pieces), float(-(count * np.log2(count)).sum())
+        bounds = np.cumsum([0, *map(len, pieces)])
+        is_byte = self.is_byte[np.fromiter(chain.from_iterable(pieces), np.int64, int(bounds[-1]))]
+        n_bytes = np.diff(np.concatenate([[0], np.cumsum(is_byte)])[bounds])
+        return [(packed[a:b], n, m) for a, b, n, m in zip(ends, ends[1:], np.diff(bounds).tolist(), n_bytes.tolist())]
+
+    def of(self, documents: list[list[bytes]]) -> list[tuple[int, float | None, float | None]]:
+        """Of the words of each document: number of tokens, share of byte pieces, entropy of the tokens; without words the last two are null."""
+        flat = list(chain.from_iterable(documents))
+        distinct = dict.fromkeys(flat)
+        parts = self.words.get_distinct(list(distinct), self._measure)
+        number = dict(zip(distinct, range(len(distinct)), strict=True))
+        ids = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
+        size = np.fromiter((len(p[0]) for p in parts), np.int64, len(parts)) // 2
+        first, packed = np.cumsum(size) - size, np.frombuffer(b"".join([p[0] for p in parts]), "<u2")
+        bounds = np.cumsum([0, *map(len, documents)])
+        pieces, in_bytes, tokens = (np.concatenate([[0], np.cumsum(x[ids])])[bounds] for x in (*(np.fromiter((p[k] for p in parts), np.int64, len(parts)) for k in (1, 2)), size))
+        # all tokens of all documents, told apart by the document's number above them
+        count = size[ids]
+        ends = np.cumsum(count)
+        spread = packed[np.repeat(first[ids] - ends + count, count) + np.arange(ends[-1] if len(ends) else 0)].astype(np.int64)
+        n = np.diff(tokens)
+        key, times = np.unique(np.repeat(np.arange(len(documents)), n) << 16 | spread, return_counts=True)
+        share = times / n[key >> 16]
+        entropy = np.bincount(key >> 16, -share * np.log2(share), len(documents))
+        by_bytes = np.diff(in_bytes) / np.maximum(1, np.diff(pieces))
+        return [(t, b, e) if words else (0, None, None) for words, t, b, e in zip(documents, n.tolist(), by_bytes.tolist(), entropy.tolist(), strict=True)]
 
 
 @lru_cache(1)
@@ -134,11 +168,9 @@ def measure(docs: DataFrame, ranks: str, pieces: str) -> DataFrame:
         for batch in batches:
             texts = batch["text"].tolist()
             for first, last in slices(texts):
-                rows = []
-                for text, lang in zip(texts[first:last], batch["lang"].iloc[first:last], strict=True):
-                    words = text.split()
+                rows, split = [], [text.split() for text in texts[first:last]]
+                for text, words, (n, share, entropy) in zip(texts[first:last], split, known.of(split), strict=True):
                     chars, symbols, lines, repeated, _ = base_counts(text, words)
-                    n, share, entropy = known.of(words) if words else (0, None, None)
                     rows.append((len(words), chars, symbols, lines, repeated, n, chars / n if n else None, share, entropy, script_of(text)))
                 out = pd.DataFrame(rows, columns=[c.split()[0] for c in COLUMNS.split(", ")])
                 out.insert(0, "lang", batch["lang"].iloc[first:last].to_numpy())
