@@ -40,6 +40,7 @@ WINDOW = 8
 SHARE = 0.5
 BROADCAST_WINDOWS = 500_000
 GAP = 4
+FORMS = ("template", "plain")
 TEMPLATE, PLAIN = 0, 1
 NAME, NUMBER, UNIT = "name", "number", "unit"
 NUMBER_PATTERN = r"\p{Nd}++(?:[.,:/]\p{Nd}++)*+"
@@ -61,17 +62,22 @@ def tokens(text: Column) -> Column:
 
 
 def is_number(token: Column) -> Column:
-    return token.rlike(r"^\p{Nd}")
+    """By the order of strings; patterns are asked only beyond ASCII, as most tokens are words in small letters."""
+    return ((token >= "0") & (token < ":")) | ((token >= "\u0080") & token.rlike(r"^\p{Nd}"))
 
 
-def kind_of(token: Column, before: Column) -> Column:
-    """The kind of a token's placeholder, null if it is literal; before: the token in front of it, or an empty one."""
-    unit = F.lower(token).isin(UNITS) & is_number(before)
-    return F.when(is_number(token), F.lit(NUMBER)).when(token.rlike(r"^\p{Lu}[\p{Ll}\p{M}]"), F.lit(NAME)).when(unit, F.lit(UNIT))
+def is_name(token: Column) -> Column:
+    return (((token >= "A") & (token < "[")) | (token >= "\u0080")) & token.rlike(r"^\p{Lu}[\p{Ll}\p{M}]")
+
+
+def by_kind(token: Column, before: Column, of: dict[str, Column]) -> Column:
+    """What of has for the token's kind of placeholder, null if it is literal; before: the token in front of it, or an empty one."""
+    unit = is_number(before) & F.lower(token).isin(UNITS)
+    return F.when(is_number(token), of[NUMBER]).when(is_name(token), of[NAME]).when(unit, of[UNIT])
 
 
 def with_before(raw: str, of: Callable[[Column, Column], Column]) -> Column:
-    """of each token and the one in front of it. Arrays are arguments here and below, never read inside a lambda: there they would be made anew for each place."""
+    """of each token and the one in front of it."""
     return F.zip_with(raw, F.slice(F.concat(F.array(F.lit("")), F.col(raw)), F.lit(1), F.size(raw)), of)
 
 
@@ -79,48 +85,57 @@ def tokenised(rows: DataFrame, key: str) -> DataFrame:
     """key, n (tokens), plain_1 and template_1 (hashes of the tokens of each form)."""
     marks = {kind: F.xxhash64(F.lit("slot"), F.lit(kind)) for kind in (NAME, NUMBER, UNIT)}
 
-    def mark(token: Column, before: Column) -> Column:
-        kind = kind_of(token, before)
-        return F.when(kind == NAME, marks[NAME]).when(kind == NUMBER, marks[NUMBER]).when(kind == UNIT, marks[UNIT])
-
     raw = rows.select(key, tokens(F.col("text")).alias("raw"))
-    held = raw.select(key, F.size("raw").alias("n"), F.transform("raw", lambda t: F.xxhash64(F.lower(t))).alias("plain_1"), with_before("raw", mark).alias("marks"))
+    held = raw.select(key, F.size("raw").alias("n"), F.transform("raw", lambda t: F.xxhash64(F.lower(t))).alias("plain_1"), with_before("raw", lambda t, before: by_kind(t, before, marks)).alias("marks"))
     return held.select(key, "n", "plain_1", F.zip_with("plain_1", "marks", lambda h, m: F.coalesce(m, h)).alias("template_1"))
 
 
-def with_windows(rows: DataFrame, sizes: list[int]) -> DataFrame:
-    """rows with windows, an array of mode, size, place and hash for windows of all these sizes, made by doubling."""
-    forms = ((TEMPLATE, "template"), (PLAIN, "plain"))
+def windows(rows: DataFrame, key: str, sizes: list[int]) -> DataFrame:
+    """key, n, at, hash of the windows of all these sizes; at: number of the window among those of a text, see decoded.
+
+    Windows are made by doubling. Arrays are arguments of functions, not read inside lambdas, where they would be made anew for each place.
+    """
+    made = {1}
 
     def joined(form: str, size: int, left: int) -> Column:
-        """Windows of a size from those of the sizes left and size - left."""
         count = F.greatest(F.col("n") - size + 1, F.lit(0))
         return F.zip_with(F.slice(f"{form}_{left}", F.lit(1), count), F.slice(f"{form}_{size - left}", F.lit(left + 1), count), lambda a, b: F.xxhash64(a, b))
 
-    made = {1}
-
     def make(size: int) -> None:
         nonlocal rows
         if size not in made:
             left = 1 << ((size - 1).bit_length() - 1)
             make(left)
             make(size - left)
-            rows = rows.withColumns({f"{form}_{size}": joined(form, size, left) for _, form in forms})
+            rows = rows.withColumns({f"{form}_{size}": joined(form, size, left) for form in FORMS})
             made.add(size)
 
-    def placed(hashes: Column, mode: int, size: int) -> Column:
-        return F.transform(hashes, lambda h, i: F.struct(F.lit(mode).alias("mode"), F.lit(size).alias("size"), i.alias("place"), h.alias("hash")))
-
     for size in sizes:
         make(size)
-    return rows.withColumn("windows", F.concat(*(placed(F.col(f"{form}_{size}"), mode, size) for size in sizes for mode, form in forms)))
+    every = F.concat(*(F.col(f"{form}_{size}") for size in sizes for form in FORMS))
+    # outer: for others Spark adds a filter on the array's size, which has the array made anew below
+    return rows.select(key, "n", F.posexplode_outer(every).alias("at", "hash")).where("hash is not null")
+
+
+def decoded(n: Column, at: Column, sizes: list[int]) -> Column:
+    """mode, size and place of a text's window by its number, which counts sizes and within them forms; n: tokens of the text."""
+    before, out = F.lit(0), None
+    for size in sizes:
+        count = F.greatest(n - size + 1, F.lit(0))
+        for mode in range(len(FORMS)):
+            one = F.struct(F.lit(mode).alias("mode"), F.lit(size).alias("size"), (at - before).alias("place"))
+            before = before + count
+            out = F.when(at < before, one) if out is None else out.when(at < before, one)
+    return out
 
 
 def slots(rows: DataFrame, key: str) -> DataFrame:
     """key, place, kind, value of every placeholder."""
     raw = rows.select(key, tokens(F.col("text")).alias("raw"))
-    one = with_before("raw", lambda t, before: F.struct(kind_of(t, before).alias("kind"), F.lower(t).alias("value")))
-    return raw.select(key, F.posexplode(one).alias("place", "slot")).where("slot.kind is not null").select(key, "place", "slot.kind", "slot.value")
+    kinds = {kind: F.lit(kind) for kind in (NAME, NUMBER, UNIT)}
+    one = with_before("raw", lambda t, before: F.struct(by_kind(t, before, kinds).alias("kind"), F.lower(t).alias("value")))
+    # outer, here and below: for others Spark adds a filter on the array's size, which has the array made anew below
+    return raw.select(key, F.posexplode_outer(one).alias("place", "slot")).where("slot.kind is not null").select(key, "place", "slot.kind", "slot.value")
 
 
 def alignments(places: DataFrame) -> DataFrame:
@@ -145,11 +160,11 @@ def item_windows(items: DataFrame) -> DataFrame:
     sizes = sorted(r["size"] for r in rows.select(F.least("n", F.lit(WINDOW)).alias("size")).distinct().collect())  # WINDOW values at most
     if not sizes:
         return items.sparkSession.createDataFrame([], "item_id long, mode int, size int, item_place int, hash long")
-    rows = with_windows(rows, sizes).withColumn("literal", F.zip_with("plain_1", "template_1", lambda a, b: a == b))
-    one = rows.select("item_id", "n", "literal", F.explode("windows").alias("w")).where(F.col("w.size") == F.least("n", F.lit(WINDOW)))
+    literal = rows.select("item_id", F.zip_with("plain_1", "template_1", lambda a, b: a == b).alias("literal"))
+    one = windows(rows, "item_id", sizes).withColumn("w", decoded(F.col("n"), F.col("at"), sizes)).where(F.col("w.size") == F.least("n", F.lit(WINDOW)))
     n_literal = F.size(F.filter(F.slice("literal", F.col("w.place") + 1, F.col("w.size")), lambda x: x))
-    used = one.where((F.col("w.mode") == PLAIN) | (2 * n_literal >= F.col("w.size")))
-    return used.select("item_id", "w.mode", "w.size", F.col("w.place").alias("item_place"), "w.hash")
+    used = one.join(literal, "item_id").where((F.col("w.mode") == PLAIN) | (2 * n_literal >= F.col("w.size")))
+    return used.select("item_id", "w.mode", "w.size", F.col("w.place").alias("item_place"), "hash")
 
 
 def contaminated(docs: DataFrame, items: DataFrame, share: float = SHARE) -> DataFrame:
@@ -162,8 +177,9 @@ def contaminated(docs: DataFrame, items: DataFrame, share: float = SHARE) -> Dat
         return spark.createDataFrame([], "doc_id long, item_id long, n_windows long, n_matched long, n_slots long, n_slot_conflicts long")
     few = sought.count() <= BROADCAST_WINDOWS
     texts = docs.where("doc_id is not null and text is not null").select("doc_id", "text")
-    placed = with_windows(tokenised(texts, "doc_id"), sizes).select("doc_id", F.explode("windows").alias("w")).select("doc_id", "w.*")
-    found = placed.join(F.broadcast(sought) if few else sought, ["hash", "mode", "size"])
+    side = F.broadcast(sought) if few else sought
+    found = windows(tokenised(texts, "doc_id"), "doc_id", sizes).join(side, "hash").withColumn("w", decoded(F.col("n"), F.col("at"), sizes))
+    found = found.where((F.col("w.mode") == F.col("mode")) & (F.col("w.size") == F.col("size"))).withColumn("place", F.col("w.place"))
     found = cut(found.select("doc_id", "item_id", "mode", "size", "place", "item_place").distinct(), "op5-found")
     total = sought.groupBy("item_id", "mode").agg(F.count("*").alias("n_windows"))
     matched = found.groupBy("doc_id", "item_id", "mode").agg(F.count_distinct("item_place").alias("n_matched"))

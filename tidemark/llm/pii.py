@@ -166,7 +166,8 @@ def words_of(texts: DataFrame, keep: list[str], placed: bool = False) -> DataFra
         rows = texts.select(*keep, normal, F.transform(found, lambda w: F.struct(w.alias("word"))).alias("words"))
     left = F.slice(F.concat(F.array(none), F.transform("normal", lambda n: sided("left", n))), F.lit(1), F.size("normal"))
     right = F.slice(F.concat(F.transform("normal", lambda n: sided("right", n)), F.array(none)), F.lit(2), F.size("normal"))
-    one = rows.select(*keep, F.explode(F.arrays_zip(F.col("words").alias("x"), left.alias("left"), right.alias("right"))).alias("w"))
+    # outer, here and below: for others Spark adds a filter on the array's size, which has the array made anew below
+    one = rows.select(*keep, F.explode_outer(F.arrays_zip(F.col("words").alias("x"), left.alias("left"), right.alias("right"))).alias("w"))
     value = F.btrim("w.x.word", F.lit(EDGES))
     out = [*keep, F.xxhash64(value).alias("v"), patterns_of(F.col("w.left"), F.col("w.right")).alias("patterns")]
     if placed:
@@ -187,7 +188,7 @@ def bootstrap(texts: DataFrame, seeds: DataFrame) -> tuple[DataFrame, DataFrame]
     known, before = own.withColumn("score", F.lit(1.0)), None
     useful = None
     while True:
-        spread = words_of(texts, []).select("v", F.explode("patterns").alias("pattern"))
+        spread = words_of(texts, []).select("v", F.explode_outer("patterns").alias("pattern")).where("pattern is not null")
         mass = edges.join(known, "v").groupBy("pattern").agg(F.count("*").alias("n"), F.sum("score").alias("mass"))
         mass = cut(mass.where(F.col("n") >= SUPPORT).select("pattern", "mass"), "op3-mass")
         if mass.isEmpty():
@@ -210,7 +211,7 @@ def bootstrap(texts: DataFrame, seeds: DataFrame) -> tuple[DataFrame, DataFrame]
             break
         before = found if before is None else cut(found.unionByName(before).groupBy("v").agg(F.max("score").alias("score")), "op3-known")
         known = own.withColumn("score", F.lit(1.0)).unionByName(before)
-        again = sought(words_of(texts, []), before.select("v"), "v").select("v", F.explode("patterns").alias("pattern")).distinct()
+        again = sought(words_of(texts, []), before.select("v"), "v").select("v", F.explode_outer("patterns").alias("pattern")).where("pattern is not null").distinct()
         edges = cut(seeds.unionByName(again).distinct(), "op3-edges")
     return None if before is None else (useful.select("pattern"), before.select("v"))
 
