@@ -69,3 +69,12 @@ def test_edges(spark, edges, nothing):
     assert removed[5] == 0 and removed[6] == 120 and removed[None] == 0 and removed[12] == 25 and removed[1] == removed[4] == 0
     assert (4, texts[4]) in rows
     assert substring.without_repeats(nothing).count() == 0
+
+
+def test_words_that_a_polynomial_hash_confuses(spark):
+    a = "".join("ab"[bin(k).count("1") % 2] for k in range(1024))
+    b = "".join("ba"[bin(k).count("1") % 2] for k in range(1024))
+    words = [f"w{k}" for k in range(30)]
+    rows = [(1, " ".join([*words[:15], a, *words[15:]])), (2, " ".join([*words[:15], b, *words[15:]]))]
+    got = {r["doc_id"]: r["n_removed"] for r in substring.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 0, 2: 0}

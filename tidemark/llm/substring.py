@@ -118,11 +118,11 @@ def anchors(words: np.ndarray, bounds: np.ndarray, window: int = WINDOW) -> tupl
     return own[at], block, doc[begin], begin - first[doc[begin]], count
 
 
-def window_hashes(words: np.ndarray, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """128 bits for each window, by doubling."""
+def window_hashes(halves: tuple[np.ndarray, np.ndarray], window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits for each window, by doubling; halves: two independent hashes of each word."""
     out = []
-    for seed in (0x243F6A8885A308D3, 0x13198A2E03707344):
-        part, size, done, have = mix(words + np.uint64(seed)), 1, None, 0
+    for words in halves:
+        part, size, done, have = mix(words), 1, None, 0
         rest = window
         while rest:
             if rest & 1:
@@ -166,7 +166,7 @@ def window_rows(texts: DataFrame) -> DataFrame:
             texts, ids, spans = batch["text"].tolist(), batch["doc_id"].to_numpy(), batch["spans"].tolist()
             for begin, stop in slices(texts, 300_000):
                 words, bounds = hash_words(texts[begin:stop])
-                a, b = window_hashes(words)
+                a, b = window_hashes((words, hash_words(texts[begin:stop], seed=1)[0]))
                 at, own = [np.zeros(0, np.int64)], [0] * (stop - begin)
                 for i in range(begin, stop):
                     here = starts_of(np.asarray(spans[i], np.int64), max(0, bounds[i - begin + 1] - bounds[i - begin] - WINDOW + 1))
