@@ -4,6 +4,7 @@ import pytest
 
 from tidemark import cli
 from tidemark.config import EngineConfig
+from tidemark.streaming import ingest
 
 FULL = {
     "file": {"sample_rate": 8000}, "paths": {"test_data_dir": "t", "output_dir": "o", "input_dir": "i"},
@@ -57,4 +58,20 @@ def test_modes_and_their_rank(args, mode):
 
 
 def test_unknown_arguments_are_named():
-    assert cli.parse(["--what", "--config", "x"]) == ("pipeline", "x", ["--what"])
+    mode, options, rest = cli.parse(["--what", "--config", "x"])
+    assert (mode, options.config, rest) == ("pipeline", "x", ["--what"])
+
+
+def test_recordings_by_parameters(tmp_path, capsys):
+    (tmp_path / "landing").mkdir()
+    made = {"sample_rate": 44100, "output_dir": str(tmp_path / "made"), "signals": [{"type": "clean", "size_kb": 2, "count": 2, "subdir": "a"}, {"type": "noisy", "size_kb": 2, "count": 9}, {"type": "anomaly", "size_kb": 3, "count": 1}]}
+    (tmp_path / "signals.json").write_text(json.dumps(made))
+    with pytest.warns(UserWarning, match="noisy"):
+        assert cli.main(["--generate", "--params", str(tmp_path / "signals.json")]) == 0
+    files = sorted(str(p.relative_to(tmp_path / "made")) for p in (tmp_path / "made").rglob("*.wav"))
+    assert files == ["a/engine_clean_2kb_00001.wav", "a/engine_clean_2kb_00002.wav", "engine_anomaly_3kb_00001.wav"]
+    listed = json.loads((tmp_path / "made" / "test_data_hashes.json").read_text())
+    assert len(listed) == 3 and len(set(listed.values())) == 2
+    sent = {"signal": {"sample_rate": 44100, "size_kb": 2}, "batch": {"clean": 2, "anomaly": 3}}
+    assert ingest.load(str(tmp_path / "landing"), sent, rate=1000) == (5, 5) and len(list((tmp_path / "landing").glob("*.wav"))) == 5
+    assert cli.main(["--send"]) == 2 and "needs --params" in capsys.readouterr().err

@@ -69,6 +69,13 @@ def test_store(spark, tmp_path):
     assert (store.get("a")["first_seen"].day, store.get("a")["last_seen"].day) == (1, 5)
     store.delete(spark.createDataFrame([("a",)], "sha256 string"))
     assert not store.exists("a") and store.exists("b")
+    # a part that arrives while a generation is made is not lost, and is newer than what went into it
+    state = store._state()
+    store._state = lambda: state
+    store.set(at("c", 3))
+    store.compact()
+    del store._state
+    assert store.exists("c") and store.exists("b") and store.read().count() == 2
     store.clear()
     assert store.read().count() == 0 and other.exists("a")
 

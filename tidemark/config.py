@@ -30,6 +30,9 @@ class EngineConfig:
     test_data_dir: str = "test_data"
     output_dir: str = "output"
     input_dir: str = "input"
+    #: Folder of the fitted detector, and the window that its features are made of.
+    model_dir: str = "model"
+    feature_fft_size: int = 65_536
 
     def __post_init__(self) -> None:
         for name in ("sample_rate", "sha256_batch_size", "fft_batch_size", "fft_size", "reader_threads"):
@@ -63,6 +66,8 @@ class EngineConfig:
             test_data_dir=paths["test_data_dir"],
             output_dir=paths["output_dir"],
             input_dir=paths["input_dir"],
+            model_dir=paths.get("model_dir", cls.model_dir),
+            feature_fft_size=fft.get("feature_fft_size", cls.feature_fft_size),
         )
 
     @classmethod
@@ -70,7 +75,7 @@ class EngineConfig:
         """The folder's file if it has one, else the defaults; relative paths are taken from the folder."""
         folder = Path(folder).resolve()
         config = cls.load(folder / CONFIG_FILE) if (folder / CONFIG_FILE).exists() else cls()
-        return replace(config, **{name: str(folder / getattr(config, name)) for name in ("test_data_dir", "output_dir", "input_dir")}).from_environment()
+        return replace(config, **{name: str(folder / getattr(config, name)) for name in ("test_data_dir", "output_dir", "input_dir", "model_dir")}).from_environment()
 
     def from_environment(self) -> EngineConfig:
         """REDIS_HOST and REDIS_PORT win over the file; a port that is no number is left out."""

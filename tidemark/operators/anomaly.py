@@ -63,13 +63,37 @@ def fit_pca(rows: DataFrame, k: int = LATENT, features: str = "features"):
 
 def score_pca(rows: DataFrame, model, scaler, features: str = "features", key: str = "key") -> DataFrame:
     """key, error: distance of each vector from its projection."""
-    axes, mean = model.pc.toArray(), np.asarray(scaler.mean.toArray())
+    return score(rows, Components.of(model, scaler), key, features)
 
-    def run(values: pd.Series) -> pd.Series:
-        x = np.stack(values.to_list()).astype(float) - mean if len(values) else np.zeros((0, len(mean)))
-        return pd.Series(((x - x @ axes @ axes.T) ** 2).mean(axis=1))
 
-    return rows.select(key, F.pandas_udf(run, "double")(features).alias("error"))
+@dataclass
+class Components:
+    """A fitted projection with its mean, free of the session that fitted it."""
+
+    axes: np.ndarray
+    mean: np.ndarray
+
+    @classmethod
+    def of(cls, model, scaler) -> Components:
+        return cls(model.pc.toArray(), np.asarray(scaler.mean.toArray()))
+
+    @classmethod
+    def fit(cls, rows: DataFrame, k: int = LATENT, features: str = "features") -> Components:
+        return cls.of(*fit_pca(rows, k, features))
+
+    def errors(self, x: np.ndarray) -> np.ndarray:
+        x = x - self.mean
+        return ((x - x @ self.axes @ self.axes.T) ** 2).mean(axis=1)
+
+    def to_bytes(self) -> bytes:
+        out = io.BytesIO()
+        np.savez_compressed(out, axes=self.axes, mean=self.mean)
+        return out.getvalue()
+
+    @classmethod
+    def from_bytes(cls, data: bytes) -> Components:
+        kept = np.load(io.BytesIO(data), allow_pickle=False)
+        return cls(kept["axes"], kept["mean"])
 
 
 # ---- LSTM autoencoder ----
@@ -194,25 +218,33 @@ def fit_autoencoder(train: DataFrame, validation: DataFrame, rows: int = 20_000,
     return model
 
 
-def score_autoencoder(rows: DataFrame, model: Autoencoder, key: str = "key", features: str = "features") -> DataFrame:
+def score(rows: DataFrame, model: Autoencoder | Components, key: str = "key", features: str = "features") -> DataFrame:
+    """key, error. Errors are rounded, so that equal features have equal errors whatever batch they are in."""
+
     def run(values: pd.Series) -> pd.Series:
-        return pd.Series(model.errors(np.stack(values.to_list()).astype(float)) if len(values) else np.zeros(0))
+        return pd.Series(model.errors(np.stack(values.to_list()).astype(float)).round(12) if len(values) else np.zeros(0))
 
     return rows.select(key, F.pandas_udf(run, "double")(features).alias("error"))
 
 
-def save(spark: SparkSession, folder: str, model: Autoencoder, threshold: float | None) -> None:
-    """Weights and threshold as one row."""
-    spark.createDataFrame([(bytearray(model.to_bytes()), threshold)], "model binary, threshold double").coalesce(1).write.mode("overwrite").parquet(folder)
+score_autoencoder = score
+KINDS = {"autoencoder": Autoencoder, "components": Components}
+
+
+def save(spark: SparkSession, folder: str, model: Autoencoder | Components, threshold: float | None) -> None:
+    """The detector and its threshold as one row."""
+    kind = next(name for name, made in KINDS.items() if isinstance(model, made))
+    row = [(kind, bytearray(model.to_bytes()), threshold)]
+    spark.createDataFrame(row, "kind string, model binary, threshold double").coalesce(1).write.mode("overwrite").parquet(folder)
 
 
-def load(spark: SparkSession, folder: str) -> tuple[Autoencoder, float | None]:
+def load(spark: SparkSession, folder: str) -> tuple[Autoencoder | Components, float | None]:
     from pyspark.errors import AnalysisException
 
     try:
-        row = spark.read.schema("model binary, threshold double").parquet(folder).first()
+        row = spark.read.schema("kind string, model binary, threshold double").parquet(folder).first()
     except AnalysisException as error:
         raise NotFitted(f"no model in {folder}; train one first") from error
     if row is None:
         raise NotFitted(f"no model in {folder}; train one first")
-    return Autoencoder.from_bytes(bytes(row["model"])), row["threshold"]
+    return KINDS[row["kind"]].from_bytes(bytes(row["model"])), row["threshold"]

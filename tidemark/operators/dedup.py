@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.session import settled
+
 
 def distinct_by(rows: DataFrame, key: str, order: str = "path") -> DataFrame:
     """One row for each key, that of the least order: an aggregation, combined before the shuffle, where a window would sort whole groups."""
@@ -68,22 +70,19 @@ def ordered_split(rows: DataFrame, order: str, share: float = 0.2) -> DataFrame:
 
 
 def numbered(rows: DataFrame, order: str, name: str = "place") -> DataFrame:
-    """rows with their place, from 1, in the order of a unique column.
+    """rows with their place, from 1, in the order of a unique column of any type.
 
-    Rows are dealt to ranges of the order by its quantiles; each range is numbered for itself and shifted by the counts of
-    those before it, so no task sorts the table. The quantiles only balance the ranges: places are exact.
+    Rows are dealt to ranges of the order and sorted there; a row's place is its number within its range, shifted by the counts
+    of the ranges before it. No task sees all rows, and no more than a count for each range reaches the driver.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    kind = rows.schema[order].dataType.typeName()
-    if kind not in ("long", "integer", "short", "byte", "double", "float") or parts < 2:
-        return rows.withColumn(name, F.row_number().over(Window.orderBy(order)).cast("long"))
-    ends = rows.select(F.percentile_approx(order, [k / parts for k in range(1, parts)], 1000).alias("q")).first()["q"] or []
-    marks = F.array(*(F.lit(x) for x in sorted(set(ends)))).cast("array<double>") if ends else F.array().cast("array<double>")
-    dealt = rows.withColumn("_range", F.size(F.filter(marks, lambda m: m <= F.col(order))))
-    counts = {r["_range"]: r["count"] for r in dealt.groupBy("_range").count().collect()}  # as many as partitions
-    before, shifts = 0, [F.lit(-1), F.lit(0)]
+    # numbered and written at once, as ranges come from a sample and another run may draw others; above bit 33 the id holds the range
+    dealt = rows.repartitionByRange(parts, order).sortWithinPartitions(order).withColumn("_id", F.monotonically_increasing_id())
+    dealt = settled(dealt)
+    counts = {r["_range"]: r["count"] for r in dealt.groupBy(F.shiftright("_id", 33).alias("_range")).count().collect()}
+    before, shifts = 0, [F.lit(-1).cast("long"), F.lit(0).cast("long")]
     for k in sorted(counts):
-        shifts += [F.lit(k), F.lit(before)]
+        shifts += [F.lit(k).cast("long"), F.lit(before).cast("long")]
         before += counts[k]
-    own = F.row_number().over(Window.partitionBy("_range").orderBy(order))
-    return dealt.withColumn(name, (own + F.create_map(*shifts)[F.col("_range")]).cast("long")).drop("_range")
+    own = F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    return dealt.withColumn(name, own + F.create_map(*shifts)[F.shiftright("_id", 33)]).drop("_id")

@@ -2,10 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+class StageTimes:
+    """Seconds of the stages of a run, and counts of the rows that went through, observed while they do and not counted again."""
+
+    def __init__(self) -> None:
+        self.seconds: dict[str, float] = {}
+        self._seen: Observation | None = None
+
+    @contextmanager
+    def stage(self, name: str) -> Iterator[None]:
+        began = time.perf_counter()
+        try:
+            yield
+        finally:
+            self.seconds[name] = self.seconds.get(name, 0.0) + time.perf_counter() - began
+
+    def watched(self, rows: DataFrame, *counts: Column) -> DataFrame:
+        if rows.isStreaming:
+            return rows
+        self._seen = Observation()
+        return rows.observe(self._seen, *counts)
+
+    @property
+    def counts(self) -> dict[str, int]:
+        """What was observed, 0 where there was nothing; to be asked for when the stage that reads the rows is over."""
+        return {} if self._seen is None else {k: v or 0 for k, v in self._seen.get.items()}
+
+    @property
+    def total(self) -> float:
+        return sum(self.seconds.values())
+
+    def report(self) -> str:
+        parts = [f"{name} {seconds:.3f} s" for name, seconds in self.seconds.items()]
+        return ", ".join([*parts, f"total {self.total:.3f} s", *(f"{v} {k}" for k, v in self.counts.items())])
+
+
+def stream_times(progress: dict | None) -> dict[str, float]:
+    """Seconds by stage of a micro-batch, of the progress of a streaming query."""
+    return {name: ms / 1000 for name, ms in ((progress or {}).get("durationMs") or {}).items()}
+
+
 def rate(count: Column, seconds: Column) -> Column:
     """count a second; null where no time passed."""
     return count / F.nullif(seconds, F.lit(0.0))

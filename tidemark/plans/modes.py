@@ -15,8 +15,8 @@ from tidemark.config import EngineConfig
 from tidemark.functions.hashing import sha256_hex, xxh64_hex
 from tidemark.functions.spectral import floats_of, magnitude_bytes, preprocess
 from tidemark.functions.wav import pcm, valid, with_header
-from tidemark.operators import dedup
-from tidemark.operators.metrics import batch_durations
+from tidemark.operators import anomaly, dedup
+from tidemark.operators.metrics import StageTimes, batch_durations
 from tidemark.operators.store import KeyedStore
 from tidemark.schemas import MAGNITUDES, SPECTRA
 from tidemark.session import settled
@@ -46,7 +46,7 @@ def spectra(files: DataFrame, config: EngineConfig, on_error: str = "skip", keep
     """keep, xxhash and mag_bytes of each recording, samples taken as they stand in the file."""
     spark = files.sparkSession
     window = pcm(2 * config.fft_size)
-    rows = valid(with_header(files), on_error).select(*keep, magnitude_bytes(window, config.fft_size, config.pcm_scale).alias("mag_bytes"))
+    rows = valid(with_header(files), on_error).select(*keep, magnitude_bytes(window, config.fft_size, config.pcm_scale, rows=config.fft_batch_size).alias("mag_bytes"))
     return rows.withColumn("xxhash", xxh64_hex(spark, F.col("mag_bytes")))
 
 
@@ -64,25 +64,74 @@ def pipeline_sha256(files: DataFrame) -> DataFrame:
     return rows.groupBy("sha256").agg(F.min("modificationTime").alias("first_seen"), F.max("modificationTime").alias("last_seen"))
 
 
-def run_pipeline_fft(spark: SparkSession, config: EngineConfig, files: DataFrame | None = None) -> DataFrame:
-    """Spectra of the input folder (or of files), written to the store if there is one; the distinct rows."""
-    files = scan_recordings(spark, config.input_dir) if files is None else files
-    rows = pipeline_fft(files, config)
-    if config.store_path:
-        now = F.current_timestamp()
-        spectrum_store(spark, config.store_path).set(rows.select("xxhash", "fft_size", "magnitudes", F.lit(False).alias("consumed"), now.alias("first_seen"), now.alias("last_seen")))
-    return rows
+def run_pipeline_fft(spark: SparkSession, config: EngineConfig, files: DataFrame | None = None, times: StageTimes | None = None) -> DataFrame:
+    """Spectra of the input folder (or of files), written to the store if there is one; the distinct rows, computed once."""
+    return _run_pipeline(spark, config, files, times, lambda rows: pipeline_fft(rows, config), _store_spectra)
+
+
+def run_pipeline_sha256(spark: SparkSession, config: EngineConfig, files: DataFrame | None = None, times: StageTimes | None = None) -> DataFrame:
+    return _run_pipeline(spark, config, files, times, pipeline_sha256, _store_digests)
+
+
+def _store_spectra(spark: SparkSession, path: str, rows: DataFrame) -> None:
+    now = F.current_timestamp()
+    spectrum_store(spark, path).set(rows.select("xxhash", "fft_size", "magnitudes", F.lit(False).alias("consumed"), now.alias("first_seen"), now.alias("last_seen")))
+
 
+def _store_digests(spark: SparkSession, path: str, rows: DataFrame) -> None:
+    now = F.current_timestamp()
+    registry(spark, path).set(rows.select("sha256", now.alias("first_seen"), now.alias("last_seen")))
 
-def run_pipeline_sha256(spark: SparkSession, config: EngineConfig, files: DataFrame | None = None) -> DataFrame:
-    files = scan_recordings(spark, config.input_dir) if files is None else files
-    rows = pipeline_sha256(files)
+
+def _run_pipeline(spark, config, files, times, compute, store) -> DataFrame:
+    times = StageTimes() if times is None else times
+    with times.stage("scan"):
+        files = scan_recordings(spark, config.input_dir) if files is None else files
+    with times.stage("compute"):
+        rows = settled(compute(times.watched(files, F.count("*").alias("files"), F.sum("length").alias("bytes"))))
     if config.store_path:
-        now = F.current_timestamp()
-        registry(spark, config.store_path).set(rows.select("sha256", now.alias("first_seen"), now.alias("last_seen")))
+        with times.stage("store"):
+            store(spark, config.store_path, rows)
+    if config.verbose:
+        print(times.report())
     return rows
 
 
+def clear_store(spark: SparkSession, path: str) -> None:
+    """Empties all families."""
+    for family in (registry, magnitude_store, spectrum_store):
+        family(spark, path).clear()
+
+
+def append_csv(rows: DataFrame, path: str) -> None:
+    """A few rows at the end of one file, whose header stands once."""
+    spark = rows.sparkSession
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    text = spark.read.text(path, wholetext=True).first()["value"] if fs.exists(at) else ",".join(rows.columns) + "\n"
+    text += "".join(",".join("" if v is None else str(v) for v in row) + "\n" for row in rows.collect())
+    stream = fs.create(at, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def run_sweep(spark: SparkSession, config: EngineConfig, workers: tuple[int, ...] = (2, 4, 8), runs: int = 3) -> DataFrame:
+    """The FFT pipeline without a store by so many tasks at once; workers, run, files, total_s, files_per_sec of each, also in baseline_fft.csv."""
+    from dataclasses import replace
+
+    rows = []
+    for n in workers:
+        for k in range(runs):
+            times = StageTimes()
+            files = scan_recordings(spark, config.input_dir).coalesce(n)
+            run_pipeline_fft(spark, replace(config, store_path=None, verbose=False), files, times)
+            files_ = times.counts["files"]
+            rows.append((n, k + 1, files_, times.total, files_ / max(times.total, 1e-9)))
+    out = spark.createDataFrame(rows, "workers int, run int, files long, total_s double, files_per_sec double")
+    append_csv(out.orderBy("workers", "run"), f"{config.output_dir}/baseline_fft.csv")
+    return out
+
+
 def run_hash(spark: SparkSession, config: EngineConfig, on_error: str = "fail") -> DataFrame:
     """sha256, path of recordings not seen before; hash_results.csv in the output folder. Without a store every file is given."""
     began = time.perf_counter()
@@ -110,7 +159,7 @@ def run_profile(spark: SparkSession, config: EngineConfig) -> DataFrame:
     batches = max(1, -(-n // config.sha256_batch_size))
     out = batch_durations(placed.withColumn("duration_ms", F.lit(ms / batches)))
     out = out.select(F.lit(config.sha256_threads_per_block).alias("threads_per_block"), F.lit(config.sha256_batch_size).alias("batch_size"), "*")
-    out.write.mode("append").csv(f"{config.output_dir}/profile_results.csv", header=True)
+    append_csv(out, f"{config.output_dir}/profile_results.csv")
     return out
 
 
@@ -124,7 +173,7 @@ def run_fft(spark: SparkSession, config: EngineConfig, on_error: str = "fail") -
     # contents are joined again by path, after the filter and cut to one window: the shuffle never holds whole recordings
     window = valid(with_header(files), on_error).select("path", pcm(2 * config.fft_size).alias("window"))
     joined = new.select("path", "sha256").join(window, "path")
-    magnitudes = floats_of(magnitude_bytes(F.col("window"), config.fft_size, config.pcm_scale)).alias("magnitudes")
+    magnitudes = floats_of(magnitude_bytes(F.col("window"), config.fft_size, config.pcm_scale, rows=config.fft_batch_size)).alias("magnitudes")
     out = settled(joined.select("path", "sha256", F.lit(config.fft_size).alias("fft_size"), magnitudes))
     n = out.count()
     ms = max((time.perf_counter() - began) * 1000 / max(1, n), 1e-3)
@@ -154,3 +203,42 @@ def features_of_store(spark: SparkSession, store: KeyedStore, fft_size: int, sam
         out = settled(out)
         store.mark_consumed(out.select(F.col("key").alias(store.key)))
     return out
+
+
+def _features(spark: SparkSession, config: EngineConfig, source: str, consume: bool) -> DataFrame:
+    if source == "folder":
+        return features_of_folder(spark, config.input_dir, config.feature_fft_size, config.sample_rate)
+    if source not in ("spectra", "fft"):
+        raise ValueError("source is folder, spectra or fft")
+    if not config.store_path:
+        raise ValueError("features of a store need a store")
+    store = spectrum_store(spark, config.store_path) if source == "spectra" else magnitude_store(spark, config.store_path)
+    return features_of_store(spark, store, config.feature_fft_size, config.sample_rate, consume=consume and source == "spectra")
+
+
+def run_train(spark: SparkSession, config: EngineConfig, source: str = "folder", detector: str = "autoencoder", **options) -> dict:
+    """Fits a detector to the features of a source and saves it with its threshold in config.model_dir.
+
+    Rows are split in order of their keys; the detector is fitted to the first ones, and the threshold is of the errors of those
+    of the last ones that are named clean, of all of them if none is. Gives counts and the threshold.
+    """
+    rows = settled(_features(spark, config, source, consume=True))
+    if rows.isEmpty():
+        raise ValueError("no features to train on")
+    parts = settled(dedup.ordered_split(rows, "key"))
+    train, held = parts.where("part = 'train'").drop("part"), parts.where("part = 'validation'").drop("part")
+    if train.isEmpty():
+        train = held
+    model = anomaly.fit_autoencoder(train, held, **options) if detector == "autoencoder" else anomaly.Components.fit(train, **options)
+    threshold = anomaly.threshold_of(anomaly.score(anomaly.clean_rows(held), model)).first()["threshold"]
+    anomaly.save(spark, config.model_dir, model, threshold)
+    return {"train": train.count(), "validation": held.count(), "threshold": threshold}
+
+
+def run_infer(spark: SparkSession, config: EngineConfig, source: str = "folder", consume: bool = False) -> DataFrame:
+    """key, error, anomaly of a source's features by the saved detector; also in inference_results.csv."""
+    model, threshold = anomaly.load(spark, config.model_dir)
+    errors = anomaly.score(_features(spark, config, source, consume), model)
+    out = settled(anomaly.flag(errors, spark.createDataFrame([(threshold,)], "threshold double")).select("key", "error", "anomaly"))
+    out.write.mode("overwrite").csv(f"{config.output_dir}/inference_results.csv", header=True)
+    return out
