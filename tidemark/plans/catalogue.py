@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from tidemark.functions import hashing, spectral
 from tidemark.functions.wav import with_header
 from tidemark.operators import anomaly, dedup, metrics
+from tidemark.plans import modes
 from tidemark.session import work_folder
 from tidemark.sources import recordings
-from tidemark.sources.synthetic import wav_bytes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -46,11 +46,30 @@ def spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select("vec_id", "label", spectral.dft_magnitudes(F.col("embedding"), WINDOW).alias("mag"))
 
 
+def little_endian(value, size: int):
+    """Hexadecimal digits of an integer's lowest bytes, the least first."""
+    return F.concat(*(F.lpad(F.hex(F.pmod(F.floor(value / 256**k), F.lit(256))), 2, "0") for k in range(size)))
+
+
+def payload(embedding: str = "embedding"):
+    """The embedding as 16-bit samples."""
+    return F.unhex(F.array_join(F.transform(embedding, lambda x: little_endian(spectral.pcm16(x.cast("double")).cast("int"), 2)), ""))
+
+
+def engine_spectra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As spectra, by the engine's own transform of 16-bit samples."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", spectral.magnitude_bytes(payload(), WINDOW, 32_767.0).alias("mag_bytes"))
+    return rows.select("vec_id", spectral.floats_of(F.col("mag_bytes")).alias("mag"))
+
+
 #: Bins of every window, for the queries below.
 BINS = """with e as (select vec_id, label, unnest(embedding)::double as x, generate_subscripts(embedding, 1) - 1 as n from embeddings),
 g as (select vec_id, k, sum(x * cos(2 * pi() / 64 * ((k * n) % 64))) as re, sum(x * sin(2 * pi() / 64 * ((k * n) % 64))) as im from e cross join range(33) r(k) group by all),
 m as (select vec_id, cast(k as integer) as k, sqrt(re * re + im * im) as mag from g)
 """
+#: The same of 16-bit samples.
+SAMPLED = BINS.replace("unnest(embedding)::double", "trunc(greatest(-1.0, least(1.0, unnest(embedding)::double)) * 32767) / 32767.0")
+
 
 
 @query("select doc_id, sha256(text) as sha256 from documents")
@@ -144,12 +163,10 @@ def dft_magnitude(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spectra(spark, sf_dir).select("vec_id", F.posexplode("mag").alias("k", "mag")).select("vec_id", "k", F.round("mag", 6).alias("mag"))
 
 
-@query(BINS + "select vec_id, k // 4 as j, round(ln(1 + mag), 5) as value from m where k < 16 and k % 4 = 0")
+@query(BINS + "select vec_id, k // 4 as j, round(cast(cast(ln(1 + mag) as float) as double), 4) as value from m where k < 16 and k % 4 = 0")
 def band_stride_log1p(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # features are single precision; the logarithm is checked before that
-    rows = spectra(spark, sf_dir).select("vec_id", F.slice("mag", 1, 16).alias("band"))
-    rows = rows.select("vec_id", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.log1p(F.col("band")[i * 4]))).alias("j", "value"))
-    return rows.select("vec_id", "j", F.round("value", 5).alias("value"))
+    rows = spectra(spark, sf_dir).select("vec_id", F.posexplode(spectral.preprocess(F.col("mag"), bin_max=16, factor=4)).alias("j", "value"))
+    return rows.select("vec_id", "j", F.round(F.col("value").cast("double"), 4).alias("value"))
 
 
 @query(BINS + "select vec_id, round(max(mag) filter (k between 5 and 15), 6) as peak, round(max(mag) filter (k between 25 and 32), 6) as edge_peak from m group by 1")
@@ -158,14 +175,14 @@ def peak_in_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spectra(spark, sf_dir).select("vec_id", near(10).alias("peak"), near(30).alias("edge_peak"))
 
 
-@query(BINS + "select vec_id, arg_max(k, mag) as k from m group by 1")
+@query(SAMPLED + "select vec_id, arg_max(k, mag) as k from m group by 1")
 def argmax_bin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spectra(spark, sf_dir).select("vec_id", spectral.loudest_bin(F.col("mag")).cast("int").alias("k"))
+    return engine_spectra(spark, sf_dir).select("vec_id", spectral.loudest_bin(F.col("mag")).cast("int").alias("k"))
 
 
-@query(BINS + "select vec_id, max(mag) filter (k = 8) > 2 * avg(mag) as stands_out from m group by 1")
+@query(SAMPLED + "select vec_id, max(mag) filter (k = 8) > 2 * avg(mag) as stands_out from m group by 1")
 def energy_over_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spectra(spark, sf_dir).select("vec_id", spectral.stands_out(F.col("mag"), F.lit(8)).alias("stands_out"))
+    return engine_spectra(spark, sf_dir).select("vec_id", spectral.stands_out(F.col("mag"), F.lit(8)).alias("stands_out"))
 
 
 @query(BINS + "select a.vec_id, round(max(abs(a.mag - b.mag)), 6) as difference from m a join m b on b.vec_id = a.vec_id + 1 and a.k = b.k group by 1")
@@ -261,15 +278,25 @@ def producer_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", "source")
 
 
-@query("select doc_id, contains(lower(source), '1') as named from documents where starts_with(source, 'src')")
+@query("select doc_id from documents where doc_id % 3 = 0")
 def name_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents").where(F.col("source").startswith("src"))
-    return rows.select("doc_id", F.lower("source").contains("1").alias("named"))
+    name = F.concat("source", F.when(F.col("doc_id") % 3 == 0, "_Clean_").otherwise("_other_"), F.col("doc_id").cast("string"))
+    return anomaly.clean_rows(table(spark, sf_dir, "documents").select("doc_id", name.alias("key"))).select("doc_id")
 
 
-@query("select vec_id from embeddings where len(embedding) = 64")
+@query("""select cast(vec_id as varchar) as key, j.j, round(cast(cast(ln(1 + embedding[1 + 32 * j.j]) as float) as double), 4) as value
+from embeddings, range(2) j(j) where vec_id % 2 = 0 and embedding[1 + 32 * j.j] > -1""")
 def expected_length(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "embeddings").where(F.size("embedding") == WINDOW).select("vec_id")
+    """Features of a store of spectra, of which those of the expected length count."""
+    store = modes.spectrum_store(spark, f"{work_folder(spark)}/lengths-{uuid.uuid4().hex}")
+    whole = F.when(F.col("vec_id") % 2 == 0, F.col("embedding")).otherwise(F.slice("embedding", 1, 60))
+    now = F.current_timestamp()
+    store.set(table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("string").alias("xxhash"), F.lit(126).alias("fft_size"), whole.alias("magnitudes"), F.lit(False).alias("consumed"), now.alias("first_seen"), now.alias("last_seen")
+    ))
+    rows = modes.features_of_store(spark, store, 126, sample_rate=126, max_hz=64)
+    rows = rows.select("key", F.posexplode("features").alias("j", "value")).where("value is not null and not isnan(value)")
+    return rows.select("key", F.col("j").cast("long").alias("j"), F.round(F.col("value").cast("double"), 4).alias("value"))
 
 
 @query("""select id, case when c < 0 or m < 0 then 'unknown' when c > m then 'compute' else 'memory' end as bound
@@ -279,27 +306,39 @@ def kernel_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", metrics.bound_by(F.col("c"), F.col("m")).alias("bound"))
 
 
-@query("select id, cast(l as double) as last, cast(f as double) as first from (values (1, 1234.5, 7.0), (2, -1.0, -1.0), (3, 88.0, 88.0)) v(id, l, f)")
+@query("select event_id, floor(value * 100) / 100 as last, cast(event_id as double) as first, -1.0::double as none from events")
 def report_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = [(1, "  7 calls, Duration  usecond   1,234.5"), (2, "no number here"), (3, "sm__throughput.avg.pct  %  88")]
-    rows = spark.createDataFrame(lines, "id int, line string")
-    return rows.select("id", metrics.number_in(F.col("line")).alias("last"), metrics.number_in(F.col("line"), last=False).alias("first"))
+    """Every event as a line of a profiler's report; numbers have thousands separated, names hold digits that do not count."""
+    value = F.format_number(F.floor(F.col("value") * 100) / 100, 2)
+    line = F.concat(F.lit("  "), F.col("event_id").cast("string"), F.lit(" sm80__calls, Duration  usecond   "), value)
+    rows = table(spark, sf_dir, "events").select("event_id", line.alias("line"))
+    number = metrics.number_in
+    return rows.select("event_id", number(F.col("line")).alias("last"), number(F.col("line"), last=False).alias("first"), number(F.lit("sm80__calls v2")).alias("none"))
 
 
-@query("select * from (values ('a.wav', '11'), ('b.wav', '33'), ('c.wav', '44')) v(file, sha256)")
+@query("""select source as file, cast(case when source >= 'src5' then max(doc_id) else min(doc_id) end as varchar) as sha256 from documents group by source""")
 def manifest_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recordings.read_manifest(spark, recordings.merge_manifests('{"a.wav": "11", "b.wav": "22"}', '{"b.wav": "33", "c.wav": "44"}'))
+    """Two manifests, of all sources and of some, whose entries win."""
+    rows = table(spark, sf_dir, "documents").groupBy("source").agg(F.min("doc_id").cast("string").alias("least"), F.max("doc_id").cast("string").alias("most"))
+    manifest = lambda of, value: of.agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("source", value))))).first()[0]
+    return recordings.read_manifest(spark, recordings.merge_manifests(manifest(rows, "least"), manifest(rows.where("source >= 'src5'"), "most")))
 
 
-@query("select vec_id, cast(44100 as bigint) as sample_rate, cast(64 as bigint) as num_samples, 1 as num_channels, 16 as bit_depth, cast(44 as bigint) as data_offset, cast(128 as bigint) as data_size from embeddings")
+@query("""select vec_id, 8000 + vec_id as sample_rate, (2 * (1 + vec_id % 30)) // (1 + vec_id % 2) as num_samples, cast(1 + vec_id % 2 as integer) as num_channels, 16 as bit_depth,
+44 + 8 * (vec_id % 3) as data_offset, 4 * (1 + vec_id % 30) as data_size from embeddings""")
 def wav_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every embedding as a recording: encoded in 16 bits behind a header, which is then parsed."""
-    head = wav_bytes(bytes(2 * WINDOW))[:44]
-    rows = table(spark, sf_dir, "embeddings")
-    sample = lambda x: F.pmod(spectral.pcm16(x.cast("double")).cast("int"), F.lit(65_536))
-    little = lambda v: F.concat(F.lpad(F.hex(v % 256), 2, "0"), F.lpad(F.hex(F.floor(v / 256)), 2, "0"))
-    payload = F.unhex(F.array_join(F.transform("embedding", lambda x: little(sample(x))), ""))
-    files = rows.select("vec_id", F.concat(F.lit(head), payload).alias("content")).withColumn("length", F.length("content").cast("long"))
+    """Every embedding as a recording with a rate, channels, a length and other chunks of its own; its header is then parsed."""
+    number, size = F.col("vec_id"), 4 * (1 + F.col("vec_id") % 30)
+    text = lambda s: F.lit(s.encode().hex())
+    le = little_endian
+    channels, others = 1 + number % 2, number % 3
+    head = F.concat(
+        text("RIFF"), le(36 + 8 * others + size, 4), text("WAVEfmt "), le(F.lit(16), 4), le(F.lit(1), 2), le(channels, 2), le(8000 + number, 4),
+        le((8000 + number) * 2 * channels, 4), le(2 * channels, 2), le(F.lit(16), 2), F.repeat(F.concat(text("none"), le(F.lit(0), 4)), others.cast("int")), text("data"), le(size, 4),
+    )
+    samples = F.substring(F.concat(payload(), F.unhex(F.repeat(F.lit("00"), 128))), F.lit(1), size.cast("int"))
+    files = table(spark, sf_dir, "embeddings").select("vec_id", F.concat(F.unhex(head), samples).alias("content"))
+    files = files.withColumn("length", F.length("content").cast("long"))
     return with_header(files).select("vec_id", *(f"header.{c}" for c in ("sample_rate", "num_samples", "num_channels", "bit_depth", "data_offset", "data_size")))
 
 
@@ -307,9 +346,7 @@ def wav_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def spectrum_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spectra by key: xxHash64 with seed 0 of the single-precision magnitudes of each embedding; SQL has no such hash."""
     rows = table(spark, sf_dir, "embeddings")
-    samples = F.transform("embedding", lambda x: spectral.pcm16(x.cast("double")).cast("int"))
-    little = F.array_join(F.transform(samples, lambda v: F.concat(F.lpad(F.hex(F.pmod(v, F.lit(256))), 2, "0"), F.lpad(F.hex(F.pmod(F.floor(v / 256), F.lit(256))), 2, "0"))), "")
-    mags = rows.select("vec_id", spectral.magnitude_bytes(F.unhex(little), WINDOW, 32_767.0).alias("mag_bytes"))
+    mags = rows.select("vec_id", spectral.magnitude_bytes(payload(), WINDOW, 32_767.0).alias("mag_bytes"))
     keyed = mags.select("vec_id", hashing.xxh64_hex(spark, F.col("mag_bytes")).alias("xxhash"))
     return dedup.distinct_by(keyed, "xxhash", "vec_id")
 
