@@ -37,7 +37,7 @@ from tidemark.llm.common import as_bytes, cut, drop_cut, release, slices, table
 
 MIN_CHARS = 32
 #: Pairs of one earlier document for which its lines are sent once.
-PAIRS = 1000
+PAIRS = 100
 WHITE = b" \t\n\x0b\x0c\r"
 
 
@@ -204,11 +204,11 @@ def without_repeated_lines(docs: DataFrame, counts: tuple[str, str] = ("n_lines"
     same = (F.col("row.doc_id") == F.col("id")) & (F.col("digest").isNull() | (F.sha2("row.text", 256) == F.col("digest")))
     joined = docs.select(F.struct("*").alias("row")).join(named.hint("merge"), same, "left")
     text, lines = F.col("row.text"), F.col("lines")
-    joined = joined.select("row", "gone", F.split(text, "\n").alias("lines"))
+    joined = joined.select("row", "gone", F.when(F.col("gone").isNotNull(), F.split(text, "\n")).alias("lines"))
     # by sets of places, so that time is in proportion to the lines
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     left = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
-    n_lines = F.when(text.isNull(), F.lit(0)).otherwise(F.size(lines)).cast("long")
+    n_lines = F.when(text.isNull(), F.lit(0)).otherwise(F.length(text) - F.length(F.translate(text, "\n", "")) + 1).cast("long")
     n_removed = F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long")
     kept = F.when(F.col("gone").isNull(), text).otherwise(left).alias("text")
     rest = [kept if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in counts]

@@ -257,7 +257,8 @@ def block_links(loose: DataFrame, named: DataFrame, sets: DataFrame, percent: in
     for part in (met, beside, outside):
         drop_cut(part)
     left = _blocks(asked, sets, "target", "left")
-    wanted = own.join(asked.select(F.col("target").alias("component")).distinct(), "component", "left_semi")
+    targets = cut(asked.select(F.col("target").alias("component")).distinct(), "neardup-targets")
+    wanted = own.join(targets, "component", "left_semi")
     right = cut(_blocks(wanted.select("class", F.col("component").alias("target")), sets, "target", "right"), "neardup-right")
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
