@@ -8,6 +8,7 @@ from tidemark.operators import anomaly
 from tidemark.operators.metrics import StageTimes, stream_times
 from tidemark.plans import modes
 from tidemark.sources import synthetic
+from tidemark.sources.recordings import scan_recordings
 from tidemark.streaming import ingest
 
 SIZES = [(1, "clean", 20_000, 0), (2, "clean", 20_000, 0), (3, "clean", 30_000, 0), (4, "anomaly", 20_000, 4), (5, "anomaly", 20_000, 5)]
@@ -148,3 +149,18 @@ def test_detection_from_recordings_to_verdicts(spark, tmp_path, detector):
     assert sum(r["anomaly"] for r in rows) == 30
     with pytest.raises(anomaly.NotFitted):
         modes.run_infer(spark, replace(config, model_dir=str(tmp_path / "none")))
+
+
+def test_ranges_give_what_whole_files_give(spark, config, tmp_path):
+    """Headers of any length, short and damaged files: by ranges as by whole contents."""
+    pcm = synthetic.to_pcm16(synthetic.signal("anomaly", 9000, seed=3))
+    plain = synthetic.wav_bytes(pcm)
+    extra = plain[:36] + b"LIST" + (6000).to_bytes(4, "little") + bytes(6000) + plain[36:]
+    for name, data in (("long header", extra), ("100%", plain), ("short", synthetic.wav_bytes(pcm[:10])), ("cut", plain[:9000]), ("none", b"RIFF")):
+        (tmp_path / "in" / f"{name}.wav").write_bytes(data)
+    files = scan_recordings(spark, config.input_dir)
+    told = lambda rows: sorted((r["path"], r["xxhash"]) for r in rows.collect())
+    whole = told(modes.spectra(files, config))
+    assert told(modes.spectra(files.drop("content"), config)) == whole and len(whole) == 8
+    with pytest.raises(Exception, match="RIFF|beyond|not found"):
+        modes.spectra(files.drop("content"), config, "fail").collect()

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import struct
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -96,3 +98,40 @@ def pcm(limit: int | None = None) -> Column:
     size = F.col("header.data_size")
     size = size if limit is None else F.least(size, F.lit(limit))
     return F.substr(F.col("content"), (F.col("header.data_offset") + 1).cast("int"), size.cast("int"))
+
+
+#: Stores that a worker can read ranges of by itself.
+RANGED = ("file", "hdfs", "s3", "s3a", "gs")
+
+
+def scheme_of(path: str) -> str:
+    found = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):", path)
+    return found[1].lower() if found else "file"
+
+
+@lru_cache(64)
+def _store(scheme: str, authority: str):
+    from pyarrow import fs
+
+    if scheme == "file":
+        return fs.LocalFileSystem()
+    return fs.FileSystem.from_uri(f"{'s3' if scheme == 's3a' else scheme}://{authority}/")[0]
+
+
+def read_payload(path: str, length: int, limit: int) -> tuple[dict[str, int], bytes]:
+    """Header and first bytes of the payload of a file, of which no more is read; HeaderError if it is no recording."""
+    scheme, authority, at = scheme_of(path), "", re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:", "", path)
+    if at.startswith("//"):
+        authority, _, at = at[2:].partition("/")
+        at = f"/{at}"
+    if scheme in ("s3", "s3a", "gs"):
+        at = f"{authority}{at}"
+    with _store(scheme, authority).open_input_file(at) as file:
+        data = file.read_at(min(length, PREFIX), 0)
+        try:
+            header = parse_header(data, length)
+        except IndexError:
+            data = file.read_at(length, 0)
+            header = parse_header(data, length)
+        begin, end = header["data_offset"], header["data_offset"] + min(header["data_size"], limit)
+        return header, data[begin:end] if end <= len(data) else file.read_at(end - begin, begin)

@@ -7,14 +7,16 @@ window in the JVM, and recordings that were seen are dropped before their transf
 from __future__ import annotations
 
 import time
+from collections.abc import Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import EngineConfig
 from tidemark.functions.hashing import sha256_hex, xxh64_hex
-from tidemark.functions.spectral import floats_of, magnitude_bytes, preprocess
-from tidemark.functions.wav import pcm, valid, with_header
+from tidemark.functions.spectral import floats_of, magnitude_bytes, magnitudes_of, preprocess
+from tidemark.functions.wav import RANGED, HeaderError, pcm, read_payload, scheme_of, valid, with_header
 from tidemark.operators import anomaly, dedup
 from tidemark.operators.metrics import StageTimes, batch_durations
 from tidemark.operators.store import KeyedStore
@@ -42,12 +44,35 @@ def digests(files: DataFrame, on_error: str = "skip") -> DataFrame:
     return valid(with_header(files), on_error).select("path", sha256_hex(pcm()).alias("sha256"))
 
 
-def spectra(files: DataFrame, config: EngineConfig, on_error: str = "skip", keep: tuple[str, ...] = ("path",)) -> DataFrame:
-    """keep, xxhash and mag_bytes of each recording, samples taken as they stand in the file."""
-    spark = files.sparkSession
-    window = pcm(2 * config.fft_size)
-    rows = valid(with_header(files), on_error).select(*keep, magnitude_bytes(window, config.fft_size, config.pcm_scale, rows=config.fft_batch_size).alias("mag_bytes"))
-    return rows.withColumn("xxhash", xxh64_hex(spark, F.col("mag_bytes")))
+def spectra(files: DataFrame, config: EngineConfig, on_error: str = "skip") -> DataFrame:
+    """path, xxhash and mag_bytes of each recording, samples taken as they stand in the file.
+
+    Of files without content, in a store that workers can read by themselves, header and window are read and no more; else
+    Spark reads whole files, and windows are cut in the JVM.
+    """
+    if "content" in files.columns:
+        window = pcm(2 * config.fft_size)
+        rows = valid(with_header(files), on_error).select("path", magnitude_bytes(window, config.fft_size, config.pcm_scale, rows=config.fft_batch_size).alias("mag_bytes"))
+    else:
+        rows = files.select("path", "length").mapInPandas(ranged_spectra(config.fft_size, config.pcm_scale, config.fft_batch_size, on_error), "path string, mag_bytes binary")
+    return rows.withColumn("xxhash", xxh64_hex(files.sparkSession, F.col("mag_bytes")))
+
+
+def ranged_spectra(fft_size: int, scale: float, batch: int, on_error: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            for at in range(0, len(rows), batch):
+                paths, windows = [], []
+                for path, length in rows.iloc[at : at + batch].itertuples(index=False):
+                    try:
+                        windows.append(read_payload(path, length, 2 * fft_size)[1])
+                        paths.append(path)
+                    except HeaderError as error:
+                        if on_error == "fail":
+                            raise HeaderError(f"{path}: {error}") from error
+                yield pd.DataFrame({"path": pd.Series(paths, dtype=object), "mag_bytes": [m.tobytes() for m in magnitudes_of(windows, fft_size, scale)]})
+
+    return run
 
 
 def pipeline_fft(files: DataFrame, config: EngineConfig) -> DataFrame:
@@ -87,6 +112,8 @@ def _run_pipeline(spark, config, files, times, compute, store) -> DataFrame:
     times = StageTimes() if times is None else times
     with times.stage("scan"):
         files = scan_recordings(spark, config.input_dir) if files is None else files
+        if compute is not pipeline_sha256 and scheme_of(config.input_dir) in RANGED:
+            files = files.drop("content")  # before the rows are observed, which would have Spark read it
     with times.stage("compute"):
         rows = settled(compute(times.watched(files, F.count("*").alias("files"), F.sum("length").alias("bytes"))))
     if config.store_path:
