@@ -208,7 +208,7 @@ def without_repeated_lines(docs: DataFrame, counts: tuple[str, str] = ("n_lines"
     # by sets of places, so that time is in proportion to the lines
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
     left = F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n")
-    n_lines = F.when(text.isNull(), F.lit(0)).otherwise(F.length(text) - F.length(F.translate(text, "\n", "")) + 1).cast("long")
+    n_lines = F.when(text.isNull(), F.lit(0)).otherwise(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1).cast("long")
     n_removed = F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long")
     kept = F.when(F.col("gone").isNull(), text).otherwise(left).alias("text")
     rest = [kept if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in counts]

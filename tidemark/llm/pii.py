@@ -14,7 +14,7 @@ a word; but where it touches a base span.
 
 The corpus is read again in each round, so no table of its words is kept; patterns and values are told by 64-bit hashes. What a
 round looks for is broadcast only if it is at most BROADCAST_KEYS hashes, counted first; else both sides are shuffled. Patterns
-that far too many words stand beside (``the``) are dropped after an approximate count of these, and all others are counted exactly.
+that far too many words stand beside (``the``) are dropped by a sketch of these, and all others are counted exactly.
 
 Spans are in code points, the end exclusive. A null text has no spans. Rows are told apart by doc_id and a hash of the text, so
 null and repeated doc_ids do no harm, and repeated rows are reported each. An empty table gives no rows. Other columns are
@@ -33,8 +33,8 @@ from tidemark.llm.common import cut, drop_cut, table
 
 SUPPORT, CONFIDENT, DISCOVERED = 3, 0.5, 0.8
 BROADCAST_KEYS = 1_000_000
-#: Patterns with more than this many times the instances that would make them useful, by an approximate count, are not counted exactly.
-MARGIN = 1.5
+#: Patterns with more than this many times the instances that would make them useful, by a sketch of so many 64-bit words, are not counted exactly.
+MARGIN, WORDS = 1.5, 16
 #: Elements whose sums are formed one after the other.
 PIECE = 256
 KINDS = ("email", "ip", "card", "phone")
@@ -101,9 +101,9 @@ def kept(kind: str) -> Callable[[Column], Column]:
     return lambda span: holds(kind, span["value"])
 
 
-def plain(word: Column) -> Column:
-    """How a word stands in patterns."""
-    return F.regexp_replace(F.lower(word), "[0-9]++", "0")
+def plain(text: Column) -> Column:
+    """How words stand in patterns."""
+    return F.when(text.rlike("[0-9]"), F.regexp_replace(F.lower(text), "[0-9]++", "0")).otherwise(F.lower(text))
 
 
 def beside(gap: Column, last: bool) -> Column:
@@ -142,40 +142,70 @@ def base_spans(texts: DataFrame, keep: list[str]) -> DataFrame:
     return rows.select(*keep, F.concat(*map(spans_of, KINDS)).alias("spans"))
 
 
-def sided(side: str, word: Column) -> Column:
-    return F.xxhash64(F.lit(side), word)
+def patterns_of(left: Column, right: Column) -> Column:
+    """Hashes of the patterns that a word's left and right ones make; null where these are, at an end of the text."""
+    left_, right_ = F.when(left.isNotNull(), F.xxhash64(F.lit("left"), left)), F.when(right.isNotNull(), F.xxhash64(F.lit("right"), right))
+    return F.array(left_, right_, F.when(left.isNotNull() & right.isNotNull(), F.xxhash64(F.lit("both"), left, right)))
 
 
-def patterns_of(left: Column, right: Column) -> Column:
-    """The patterns of a word by the hashes of its left and right ones, which are null at an end of the text."""
-    both = F.when(left.isNotNull() & right.isNotNull(), F.xxhash64(F.lit("both"), left, right))
-    return F.filter(F.array(left, right, both), lambda p: p.isNotNull())
+def spread(rows: DataFrame, *keep: str) -> DataFrame:
+    """keep, pattern: a row for each pattern. Outer, here and below: for others Spark adds a filter on the array's size, which has the array made anew below."""
+    return rows.select(*keep, F.explode_outer("patterns").alias("pattern")).where("pattern is not null")
+
+
+def split_words(text: Column) -> Column:
+    """The words, by single blanks: patterns cost several times as much."""
+    for white in "\t\n\x0b\x0c\r":
+        text = F.replace(text, F.lit(white), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
+
+
+def trimmed(word: Column) -> Column:
+    """The word without marks at its edges, which most do not have."""
+
+    def ordinary(c: Column) -> Column:
+        return ((c >= "a") & (c < "{")) | ((c >= "A") & (c < "[")) | ((c >= "0") & (c < ":"))
+
+    return F.when(ordinary(word) & ordinary(F.substring(word, -1, 1)), word).otherwise(F.btrim(word, F.lit(EDGES)))
 
 
 def words_of(texts: DataFrame, keep: list[str], placed: bool = False) -> DataFrame:
-    """keep, v (hash of the word without marks at its edges), numbered (it holds a digit), patterns and, if asked for, start and end of all words."""
-    normal = F.array_remove(F.split(plain(F.col("text")), f"{SPACES}+"), "").alias("normal")
-    none = F.lit(None).cast("bigint")
+    """keep, v (hash of the word without marks at its edges), patterns and, if asked for, numbered (it holds a digit), start and end of all words."""
+    normal = split_words(plain(F.col("text"))).alias("normal")
     if placed:
         rows = texts.select(*keep, normal, F.split("text", SPACES, -1).alias("parts"))
         rows = with_starts(rows.withColumn("lengths", F.transform("parts", lambda x: F.length(x) + 1)), {"lengths": "starts"})
-        zipped = F.arrays_zip(F.col("parts").alias("word"), F.col("starts").alias("at"))
-        rows = rows.select(*keep, "normal", F.filter(zipped, lambda x: x["word"] != "").alias("words"))
+        zipped = F.filter(F.arrays_zip(F.col("parts").alias("word"), F.col("starts").alias("at")), lambda x: x["word"] != "")
+        rows = rows.select(*keep, "normal", zipped.alias("words"))
+        word = F.col("w.x.word")
     else:
-        found = F.array_remove(F.split("text", f"{SPACES}+"), "")
-        rows = texts.select(*keep, normal, F.transform(found, lambda w: F.struct(w.alias("word"))).alias("words"))
-    left = F.slice(F.concat(F.array(none), F.transform("normal", lambda n: sided("left", n))), F.lit(1), F.size("normal"))
-    right = F.slice(F.concat(F.transform("normal", lambda n: sided("right", n)), F.array(none)), F.lit(2), F.size("normal"))
-    # outer, here and below: for others Spark adds a filter on the array's size, which has the array made anew below
+        rows = texts.select(*keep, normal, split_words(F.col("text")).alias("words"))
+        word = F.col("w.x")
+    none = F.array(F.lit(None).cast("string"))
+    left, right = F.slice(F.concat(none, F.col("normal")), F.lit(1), F.size("normal")), F.slice(F.concat(F.col("normal"), none), F.lit(2), F.size("normal"))
     one = rows.select(*keep, F.explode_outer(F.arrays_zip(F.col("words").alias("x"), left.alias("left"), right.alias("right"))).alias("w"))
-    value = F.btrim("w.x.word", F.lit(EDGES))
+    value = trimmed(word)
     out = [*keep, F.xxhash64(value).alias("v"), patterns_of(F.col("w.left"), F.col("w.right")).alias("patterns")]
     if placed:
-        start = F.col("w.x.at") + F.length("w.x.word") - F.length(F.ltrim("w.x.word", F.lit(EDGES)))
+        start = F.col("w.x.at") + F.length(word) - F.length(F.ltrim(word, F.lit(EDGES)))
         out += [value.rlike("[0-9]").alias("numbered"), start.alias("start"), (start + F.length(value)).alias("end")]
     return one.where(value != "").select(*out)
 
 
+def bits(v: str) -> tuple[list[Column], Column]:
+    """A sketch of WORDS times 64 bits, which the values' hashes set: aggregates over a column place, and that column. They are compiled, as Spark's own sketches are not."""
+    place = F.shiftrightunsigned(v, 40).bitwiseAND(F.lit(64 * WORDS - 1))
+    one = F.expr("1L << cast(place & 63 as int)")
+    return [F.bit_or(F.when(F.shiftrightunsigned("place", 6) == k, one).otherwise(F.lit(0).cast("long"))).alias(f"bits_{k}") for k in range(WORDS)], place.alias("place")
+
+
+def estimate() -> Column:
+    """Different values in the sketch: its bits where they are few, by linear counting where some fell together; null if all bits are set."""
+    total = 64 * WORDS
+    held = sum((F.bit_count(f"bits_{k}") for k in range(1, WORDS)), F.bit_count("bits_0"))
+    return F.when(held < total, -total * F.log(1 - held / total))
+
+
 def sought(rows: DataFrame, keys: DataFrame, column: str, how: str = "inner") -> DataFrame:
     """rows joined with written keys, which are broadcast if they are few."""
     return rows.join(F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys, column, how)
@@ -188,17 +218,18 @@ def bootstrap(texts: DataFrame, seeds: DataFrame) -> tuple[DataFrame, DataFrame]
     known, before = own.withColumn("score", F.lit(1.0)), None
     useful = None
     while True:
-        spread = words_of(texts, []).select("v", F.explode_outer("patterns").alias("pattern")).where("pattern is not null")
         mass = edges.join(known, "v").groupBy("pattern").agg(F.count("*").alias("n"), F.sum("score").alias("mass"))
         mass = cut(mass.where(F.col("n") >= SUPPORT).select("pattern", "mass"), "op3-mass")
         if mass.isEmpty():
             break
-        sizes = sought(spread, mass, "pattern").groupBy("pattern").agg(F.approx_count_distinct("v").alias("n"), F.any_value("mass").alias("mass"))
-        likely = cut(sizes.where(F.col("n") <= MARGIN * F.col("mass") / CONFIDENT).select("pattern"), "op3-likely")
+        sketch, place = bits("v")
+        sizes = sought(spread(words_of(texts, []), "v"), mass, "pattern").select("pattern", "mass", place).groupBy("pattern").agg(F.any_value("mass").alias("mass"), *sketch)
+        few = F.coalesce(estimate() <= MARGIN * F.col("mass") / CONFIDENT, F.lit(True))
+        likely = cut(sizes.where(few).select("pattern"), "op3-likely")
         drop_cut(mass)
         if likely.isEmpty():
             break
-        pairs = sought(spread, likely, "pattern").distinct().unionByName(sought(edges, likely, "pattern").select("v", "pattern")).distinct()
+        pairs = sought(spread(words_of(texts, []), "v"), likely, "pattern").select("v", "pattern").distinct().unionByName(sought(edges, likely, "pattern").select("v", "pattern")).distinct()
         pairs = cut(pairs, "op3-pairs")
         scored = pairs.join(known, "v", "left").groupBy("pattern").agg((F.sum(F.coalesce("score", F.lit(0.0))) / (F.count("*") + 1)).alias("confidence"))
         useful = cut(scored.where(F.col("confidence") >= CONFIDENT), "op3-useful")
@@ -211,7 +242,7 @@ def bootstrap(texts: DataFrame, seeds: DataFrame) -> tuple[DataFrame, DataFrame]
             break
         before = found if before is None else cut(found.unionByName(before).groupBy("v").agg(F.max("score").alias("score")), "op3-known")
         known = own.withColumn("score", F.lit(1.0)).unionByName(before)
-        again = sought(words_of(texts, []), before.select("v"), "v").select("v", F.explode_outer("patterns").alias("pattern")).where("pattern is not null").distinct()
+        again = spread(sought(words_of(texts, []), before.select("v"), "v"), "v").distinct()
         edges = cut(seeds.unionByName(again).distinct(), "op3-edges")
     return None if before is None else (useful.select("pattern"), before.select("v"))
 
@@ -221,7 +252,7 @@ def discovered_spans(texts: DataFrame, base: DataFrame, useful: DataFrame, known
     key = ["doc_id", "h"]
     rows = sought(words_of(texts, key, placed=True), known, "v")  # few words are left here
     rows = cut(rows, "op3-words")
-    context = sought(rows.select(*key, "start", "end", F.explode("patterns").alias("pattern")), useful, "pattern", "left_semi")
+    context = sought(spread(rows, *key, "start", "end"), useful, "pattern", "left_semi")
     rows = cut(context.select(*key, "start", "end").unionByName(rows.where("numbered").select(*key, "start", "end")).distinct(), "op3-context")
     # what touches a base span is told in one pass over both, by place
     marks = base.select(*key, F.explode("spans").alias("s")).select(*key, "s.start", "s.end", F.lit(True).alias("is_base")).distinct()
@@ -243,8 +274,9 @@ def personal_data(docs: DataFrame) -> DataFrame:
     # written as they are: a filter on them would be moved below, and have them made twice
     rows = cut(base_spans(texts, ["doc_id", "h"]), "op3-rows")
     base = cut(rows.where(F.size("spans") > 0).dropDuplicates(["doc_id", "h"]), "op3-base")
-    beside_ = patterns_of(F.when(F.col("s.left") != "", sided("left", F.col("s.left"))), F.when(F.col("s.right") != "", sided("right", F.col("s.right"))))
-    seeds = base.select(F.explode("spans").alias("s")).select(F.xxhash64("s.value").alias("v"), F.explode(beside_).alias("pattern"))
+    word = lambda side: F.when(F.col(f"s.{side}") != "", F.col(f"s.{side}"))
+    seeds = base.select(F.explode("spans").alias("s")).select(F.xxhash64("s.value").alias("v"), patterns_of(word("left"), word("right")).alias("patterns"))
+    seeds = spread(seeds, "v")
     found = bootstrap(texts.select("text"), cut(seeds.distinct(), "op3-edges"))
     spans = F.transform("spans", lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     rows = rows.select("doc_id", "h", spans.alias("spans"))
