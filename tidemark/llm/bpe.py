@@ -17,7 +17,7 @@ from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from hashlib import sha256
-from itertools import chain
+from itertools import accumulate, chain, compress
 
 import numpy as np
 import pandas as pd
@@ -59,33 +59,28 @@ class Recent:
 
     def get_distinct(self, keys: list, make: Callable[[list], list]) -> list:
         """As get_many, for keys that are distinct; make gets the unknown ones in their order."""
-        new = self.new
-        found = list(map(new.get, keys))
-        at = [i for i, v in enumerate(found) if v is None]
-        if at:
-            for i, value in zip(at, map(self.old.get, [keys[i] for i in at])):
-                found[i] = value
-            unknown = [i for i in at if found[i] is None]
-            if unknown:
-                for i, value in zip(unknown, make([keys[i] for i in unknown]), strict=True):
-                    found[i] = value
-            new.update([(keys[i], found[i]) for i in at])
+        new, old = self.new, self.old
+        rest = [k for k in keys if k not in new]
+        if rest:
+            if old:
+                again = {k: old[k] for k in rest if k in old}
+                new.update(again)
+                rest = [k for k in rest if k not in again]
+            new.update(zip(rest, make(rest), strict=True))
+        found = list(map(new.__getitem__, keys))
         if len(new) > self.limit:
             self.new, self.old = {}, new
         return found
 
     def get_many(self, keys: list, make: Callable[[list], list]) -> list:
-        """Values of the keys; make gets the distinct unknown ones and gives their values."""
-        new, old = self.new, self.old
-        unknown = set(keys).difference(new)
-        if unknown:
-            again = {k: old[k] for k in unknown if k in old}
-            new.update(again)
-            fresh = sorted(unknown.difference(again))
-            new.update(zip(fresh, make(fresh), strict=True))
-        found = list(map(new.__getitem__, keys))
-        if len(new) > self.limit:
-            self.new, self.old = {}, new
+        """Values of the keys, which may come again; make gets the distinct unknown ones and gives their values."""
+        found = list(map(self.new.get, keys))
+        at = [i for i, value in enumerate(found) if value is None]
+        if at:
+            unknown = list(dict.fromkeys([keys[i] for i in at]))
+            known = dict(zip(unknown, self.get_distinct(unknown, make), strict=True))
+            for i in at:
+                found[i] = known[keys[i]]
         return found
 
 
@@ -246,36 +241,28 @@ class LibraryBPE:
 
     def _chunks(self, chunks: list[bytes]) -> list[bytes]:
         # letters and the marks behind them are separate pretokens: fewer words for the library
-        words, places, others, marks = [], [], [], []
-        out: list[bytes] = [b""] * len(chunks)
-        for i, raw in enumerate(chunks):
-            chunk = raw.decode("utf-8", "surrogatepass")
-            core = chunk.rstrip(self.MARKS)
-            if core.isalpha():
-                words.append(core)
-                places.append(i)
-                marks.append(chunk[len(core) :])
-            else:
-                others.append(i)
+        texts = [raw.decode("utf-8", "surrogatepass") for raw in chunks]
+        cores = [t.rstrip(self.MARKS) for t in texts]
+        lettered = list(map(str.isalpha, cores))
+        words = list(compress(cores, lettered))
+        tails = [t[len(c) :] for t, c in zip(compress(texts, lettered), words)]
         of_mark = self.marks
-        if fresh := [m for m in dict.fromkeys(marks) if m not in of_mark]:
+        if fresh := [m for m in dict.fromkeys(tails) if m not in of_mark]:
             if len(of_mark) > 10_000:
                 of_mark.clear()
-                fresh = list(dict.fromkeys(marks))
+                fresh = list(dict.fromkeys(tails))
             of_mark.update(zip(fresh, self._apart(fresh), strict=True))
-        for i, ids, mark in zip(places, self.words.get_many(words, self._words), marks, strict=True):
-            out[i] = ids + of_mark[mark]
-        for i, ids in zip(others, self._apart([chunks[i].decode("utf-8", "surrogatepass") for i in others]), strict=True):
-            out[i] = ids
-        return out
+        alone = iter([ids + of_mark[m] for ids, m in zip(self.words.get_many(words, self._words), tails, strict=True)])
+        others = iter(self._apart([t for t, ok in zip(texts, lettered) if not ok]))
+        return [next(alone) if ok else next(others) for ok in lettered]
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text, given in UTF-8, as unsigned 16-bit integers."""
         # the vocabulary drops case; A-Z are lowered here, but where a combining mark (lead bytes CC and CD) could compose with them
         words = [(t if b"\xcc" in t or b"\xcd" in t else t.lower()).split() for t in texts]
-        distinct = list(dict.fromkeys(chain.from_iterable(words)))
-        ids = dict(zip(distinct, self.chunks.get_distinct(distinct, self._chunks), strict=True))
-        return [b"".join([ids[w] for w in own]) for own in words]
+        ids = self.chunks.get_many(list(chain.from_iterable(words)), self._chunks)
+        ends = list(accumulate(map(len, words), initial=0))
+        return [b"".join(ids[a:b]) for a, b in zip(ends, ends[1:])]
 
 
 @lru_cache(2)
