@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 import time
@@ -81,8 +82,11 @@ def test_identifiers_lead_to_patterns_and_these_to_more(spark):
     assert all(spans[200 + i] == [("ctx", 11, 17)] for i in range(4)) and not any(spans[300 + i] for i in range(20))
 
 
-def test_recall_of_planted_contexts(spark):
-    """Identifiers of no known form, in the contexts of known ones, among prose: nearly all are found, and next to nothing else."""
+@pytest.mark.parametrize("words", [16, 1])
+def test_recall_of_planted_contexts(spark, monkeypatch, words):
+    """Identifiers of no known form, in the contexts of known ones, among prose: nearly all are found, and next to nothing else. With a sketch that is full, too."""
+    monkeypatch.setattr(pii, "WORDS", words)
+    monkeypatch.setattr(pii, "FULL", 64 * words * math.log(64 * words))
     rng, rows, planted, clean = random.Random(2), [], {}, []
     frames = ["my account {} please", "contact me as {} tonight", "badge no {} issued"]
     for d in range(400):

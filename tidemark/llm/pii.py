@@ -14,7 +14,8 @@ a word; but where it touches a base span.
 
 The corpus is read again in each round, so no table of its words is kept; patterns and values are told by 64-bit hashes. What a
 round looks for is broadcast only if it is at most BROADCAST_KEYS hashes, counted first; else both sides are shuffled. Patterns
-that far too many words stand beside (``the``) are dropped by a sketch of these, and all others are counted exactly.
+that far too many words stand beside (``the``) are dropped by a sketch of these, or a larger one where it is full, and all others are
+counted exactly.
 
 Spans are in code points, the end exclusive. A null text has no spans. Rows are told apart by doc_id and a hash of the text, so
 null and repeated doc_ids do no harm, and repeated rows are reported each. An empty table gives no rows. Other columns are
@@ -24,6 +25,7 @@ and places are summed up in pieces.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -35,6 +37,8 @@ SUPPORT, CONFIDENT, DISCOVERED = 3, 0.5, 0.8
 BROADCAST_KEYS = 1_000_000
 #: Patterns with more than this many times the instances that would make them useful, by a sketch of so many 64-bit words, are not counted exactly.
 MARGIN, WORDS = 1.5, 16
+#: Values that it takes to set all bits of a sketch.
+FULL = 64 * WORDS * math.log(64 * WORDS)
 #: Elements whose sums are formed one after the other.
 PIECE = 256
 KINDS = ("email", "ip", "card", "phone")
@@ -224,8 +228,14 @@ def bootstrap(texts: DataFrame, seeds: DataFrame) -> tuple[DataFrame, DataFrame]
             break
         sketch, place = bits("v")
         sizes = sought(spread(words_of(texts, []), "v"), mass, "pattern").select("pattern", "mass", place).groupBy("pattern").agg(F.any_value("mass").alias("mass"), *sketch)
-        few = F.coalesce(estimate() <= MARGIN * F.col("mass") / CONFIDENT, F.lit(True))
-        likely = cut(sizes.where(few).select("pattern"), "op3-likely")
+        sizes = cut(sizes.select("pattern", estimate().alias("n"), (MARGIN * F.col("mass") / CONFIDENT).alias("most")), "op3-sizes")
+        rest = sizes.where(F.col("n") <= F.col("most")).select("pattern")
+        # a full sketch tells that there are many, which only matters to patterns that may have as many
+        full = cut(sizes.where(F.col("n").isNull() & (F.col("most") >= FULL)).select("pattern", "most"), "op3-full")
+        if not full.isEmpty():
+            counted = sought(spread(words_of(texts, []), "v"), full, "pattern").groupBy("pattern").agg(F.approx_count_distinct("v").alias("n"), F.any_value("most").alias("most"))
+            rest = rest.unionByName(counted.where(F.col("n") <= F.col("most")).select("pattern"))
+        likely = cut(rest, "op3-likely")
         drop_cut(mass)
         if likely.isEmpty():
             break
