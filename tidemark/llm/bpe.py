@@ -220,7 +220,7 @@ class LibraryBPE:
             raise ValueError("ids must fit in 16 bits")
         self.last = np.zeros(1 << 16, bool)
         self.last[[i for token, i in vocabulary_.items() if token.endswith("</w>")]] = True
-        self.chunks, self.words, self.marks = Recent(700_000), Recent(100_000), {}
+        self.chunks, self.words, self.marks = Recent(900_000), Recent(250_000), {}
 
     def _apart(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u2").tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
